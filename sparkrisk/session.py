@@ -20,6 +20,7 @@ def build_session(app: str = "sparkrisk", cores: str | int = "*", partitions: in
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -43,3 +44,14 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the scratch folder, never used before."""
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialize(df, name: str):
+    """Write a table to the scratch folder and read it back.
+
+    Cuts the lineage at a point that outlives lost executors, for tables that
+    several later jobs read.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
