@@ -68,10 +68,15 @@ def valid_target(df: DataFrame, target: str = TARGET) -> DataFrame:
     return df.where(ident(target).isin(0, 1)) if target in df.columns else df
 
 
-def clean(df: DataFrame, target: str = TARGET, mixed: str | None = MIXED) -> DataFrame:
-    """Coerce, drop the mixed column, keep valid targets; the target becomes an integer."""
+def clean(
+    df: DataFrame, target: str = TARGET, mixed: str | None = MIXED, keep: Sequence[str] = ()
+) -> DataFrame:
+    """Coerce, drop the mixed column, keep valid targets; the target becomes an integer.
+
+    Columns in ``keep`` (row keys) are left as they are.
+    """
     out = (
-        df.transform(coerce_numeric, exclude=[] if mixed is None else [mixed])
+        df.transform(coerce_numeric, exclude=[*keep, *([] if mixed is None else [mixed])])
         .transform(drop_column, mixed)
         .transform(valid_target, target)
     )

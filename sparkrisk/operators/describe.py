@@ -58,7 +58,9 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = H
             lo, hi = lo - 0.5, hi + 0.5
         width = (hi - lo) / bins
         v = _number(df, c)
-        at = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * bins), F.lit(bins - 1).cast("bigint"))
+        place = F.floor((v - F.lit(lo)) / F.lit(hi - lo) * bins)
+        # least() would turn a missing value into the last bin.
+        at = F.when(v.isNotNull(), F.least(place, F.lit(bins - 1).cast("bigint")))
         cells.append(F.struct(
             F.lit(c).alias("column"), at.alias("bin"), F.lit(lo).alias("lo"), F.lit(width).alias("width")
         ))

@@ -30,6 +30,28 @@ def background_means(
     return collect_stats(rows, {c: F.avg(ident(c)) for c in names})
 
 
+def linear_scores(
+    df: DataFrame, coefficients: Mapping[str, float], intercept: float, threshold: float = 0.5
+) -> DataFrame:
+    """Adds ``y_score`` (logit), ``y_proba`` and ``y_pred`` of a logistic model by one projection."""
+    logit = F.lit(float(intercept))
+    for c, w in coefficients.items():
+        logit = logit + F.lit(float(w)) * ident(c).cast("double")
+    return (
+        df.withColumn("y_score", logit)
+        .withColumn("y_proba", 1.0 / (1.0 + F.exp(-F.col("y_score"))))
+        .withColumn("y_pred", (F.col("y_proba") > threshold).cast("int"))
+    )
+
+
+def linear_of(fitted: PipelineModel, names: Sequence[str]) -> tuple[dict[str, float], float]:
+    """``(coefficients, intercept)`` of the linear model inside a fitted pipeline."""
+    for stage in reversed(fitted.stages):
+        if hasattr(stage, "coefficients") and hasattr(stage, "intercept"):
+            return dict(zip(names, map(float, stage.coefficients.toArray()))), float(stage.intercept)
+    raise ValueError("the pipeline has no linear model")
+
+
 def linear_base(coefficients: Mapping[str, float], intercept: float, means: Mapping[str, float]) -> float:
     """Mean logit over the background."""
     return intercept + sum(w * means[c] for c, w in coefficients.items())

@@ -34,7 +34,7 @@ def load_and_prepare(
 ) -> DataFrame:
     """Cleaned rows with a key, and with ``split`` unless ``combined``.
 
-    ``key`` names a unique column of the file; without one rows are numbered. With
+    ``key`` names a unique column of the file, kept as text; without one rows are numbered. With
     ``save_to`` the cleaned table goes to ``<save_to>/clean`` and the split table to
     ``<save_to>/split``, one folder per part.
     """
@@ -42,7 +42,7 @@ def load_and_prepare(
         raw = read_delimited(spark, path, delimiter)
     except FileNotFoundError as e:
         raise RuntimeError(f"no data could be loaded: {e}") from e
-    cleaned = clean(raw, target, mixed)
+    cleaned = clean(raw, target, mixed, keep=[] if key is None else [key])
     if key is None:
         key = ROW_ID
         cleaned = with_row_id(cleaned)

@@ -11,9 +11,6 @@ from sparkrisk.operators import metrics
 from sparkrisk.sources.files import predictions_table, write_json, write_table
 from sparkrisk.spec import CLASS_LABELS
 
-BATCH_ROWS = 1_000
-
-
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """The table with ``y_pred`` (and ``y_proba`` where the model has probabilities)."""
     return model.transform(df)
@@ -27,10 +24,16 @@ def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored
 
 
-def batch_predict(model: PipelineModel, df: DataFrame, batch_rows: int = BATCH_ROWS, proba: bool = False) -> DataFrame:
-    """Scores partition by partition; rows that go through Python do so in batches of
-    ``batch_rows``. The result is that of :func:`predict`."""
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+def batch_predict(
+    model: PipelineModel, df: DataFrame, batch_rows: int | None = None, proba: bool = False
+) -> DataFrame:
+    """Scores partition by partition, which are the batches; same result as :func:`predict`.
+
+    ``batch_rows`` sets how many rows at a time go through Python for models that
+    need it, for the whole session.
+    """
+    if batch_rows is not None:
+        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
     return predict_proba(model, df) if proba else predict(model, df)
 
 
