@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Java accepts a trailing type letter and hexadecimal floats; the data model does not.
-_JAVA_ONLY_NUMBER = r"[xX]|[0-9.][dDfF]\s*$"
+# What counts as a number in a text cell. Narrower than the engine's own parser, which
+# also takes a trailing type letter and hexadecimal floats; and texts that cannot be
+# numbers are told apart without running into a parse error for each of them.
+_NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?|nan)\s*$"
 
 
 def ident(name: str) -> Column:
@@ -34,7 +36,7 @@ def present(df: DataFrame, names: Iterable[str]) -> list[str]:
 def to_number(c: Column, dtype: T.DataType) -> Column:
     """Double value of a cell; unparsable text and NaN become NULL, infinities stay."""
     if isinstance(dtype, T.StringType):
-        parsed = F.when(~c.rlike(_JAVA_ONLY_NUMBER), c.try_cast("double"))
+        parsed = F.when(c.rlike(_NUMBER), c.try_cast("double"))
     elif isinstance(dtype, (T.NumericType, T.BooleanType)):
         parsed = c.cast("double")
     else:

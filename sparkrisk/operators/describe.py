@@ -111,17 +111,34 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     """
     names = numeric_columns(df) if columns is None else list(columns)
     values = {c: _number(df, c) for c in names}
-    exprs: dict[tuple[str, str], Column] = {}
+    first: dict[str, Column] = {"rows": F.count(F.lit(1))}
+    for c, v in values.items():
+        first[f"m|{c}"], first[f"n|{c}"] = F.avg(v), F.count(v)
+    seen = stats.collect_stats(df, first)
+    # Sums of products around the column means. Columns without missing values share
+    # their sums over all pairs; equal aggregates are computed once.
+    centred = {c: v - F.lit(seen[f"m|{c}"] or 0.0) for c, v in values.items()}
+    full = {c for c in names if seen[f"n|{c}"] == seen["rows"]}
+    flat, rows = [], []
     for i, a in enumerate(names):
         for b in names[i:]:
-            both = values[a].isNotNull() & values[b].isNotNull()
-            x, y = F.when(both, values[a]), F.when(both, values[b])
-            spread = F.stddev_pop(x) * F.stddev_pop(y)
-            exprs[a, b] = F.try_divide(F.covar_pop(x, y), F.nullif(spread, F.lit(0.0)))
-    flat = [e.alias(f"r{k}") for k, e in enumerate(exprs.values())]
-    rows = []
-    for k, (a, b) in enumerate(exprs):
-        r = F.when(F.abs(F.col(f"r{k}")) > 1, F.signum(f"r{k}")).otherwise(F.col(f"r{k}"))
-        for x, y in {(a, b), (b, a)}:
-            rows.append(F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), r.alias("r")))
-    return df.agg(*flat).select(F.inline(F.array(*rows)))
+            both = centred[a].isNotNull() & centred[b].isNotNull()
+            x = centred[a] if b in full else F.when(both, centred[a])
+            y = centred[b] if a in full else F.when(both, centred[b])
+            n = F.count(F.lit(1)) if {a, b} <= full else F.count_if(both)
+            k = len(rows)
+            flat.append(_pearson(n, x, y).alias(f"r{k}"))
+            cell = F.when(F.abs(F.col(f"r{k}")) > 1, F.signum(f"r{k}")).otherwise(F.col(f"r{k}"))
+            rows.append(F.array(*[
+                F.struct(F.lit(p).alias("x"), F.lit(q).alias("y"), cell.alias("r")) for p, q in {(a, b), (b, a)}
+            ]))
+    return df.agg(*flat).select(F.inline(F.flatten(F.array(*rows))))
+
+
+def _pearson(n: Column, x: Column, y: Column) -> Column:
+    sx, sy = F.sum(x), F.sum(y)
+    xx = F.sum(x * x) - F.try_divide(sx * sx, n)
+    yy = F.sum(y * y) - F.try_divide(sy * sy, n)
+    xy = F.sum(x * y) - F.try_divide(sx * sy, n)
+    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+    return F.when(~constant & (xx > 0) & (yy > 0), xy / F.sqrt(xx * yy))

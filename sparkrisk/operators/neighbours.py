@@ -26,10 +26,12 @@ from pyspark.sql import types as T
 from sparkrisk.functions import ident
 from sparkrisk.session import materialize
 
-MAX_PIVOTS = 512
-VECTORS_PER_CELL = 2_000
-LEFT_BLOCK = 4_096
-RIGHT_BLOCK = 16_384
+MAX_PIVOTS = 1_024
+VECTORS_PER_CELL = 250
+LEFT_BLOCK = 8_192
+RIGHT_BLOCK = 32_768
+# Copies of a right vector, on average, beyond which small cells do not pay.
+_MAX_COPIES = 16
 _TILE = 2_000_000
 # Vectors shared by more rows than this part of the table are joined by broadcast.
 _HOT_PARTS = 4_096
@@ -171,19 +173,24 @@ def nearest(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
                       F.max("n_rows").alias("top")).first()
     if not sizes["n"]:
         return _attach(left, asked.select("vec", "n_rows", F.lit(None).cast(_list_type(right)).alias("near")), 0, 0, k)
-    n_pivots = min(MAX_PIVOTS, math.ceil(sizes["n"] / VECTORS_PER_CELL))
-    pivots = np.array([
-        r["vec"] for r in asked.select("vec").orderBy(F.md5(F.col("vec").cast("string")), "vec").limit(n_pivots).collect()
-    ])
-    asked_cells = _to_cells(asked, pivots)
-    radius, left_rows = np.full(len(pivots), -np.inf), np.zeros(len(pivots), dtype=np.int64)
-    for r in asked_cells.groupBy("cell").agg(F.max("reach").alias("u"), F.count(F.lit(1)).alias("n")).collect():
-        radius[r["cell"]], left_rows[r["cell"]] = r["u"], r["n"]
-    bound = _bounds(points, pivots, radius, wanted)
-    targets = _to_targets(points, pivots, radius, bound)
-    right_rows = np.zeros(len(pivots), dtype=np.int64)
-    for r in targets.groupBy("cell").count().collect():
-        right_rows[r["cell"]] = r["count"]
+    n_points = points.count()
+    coarse = math.ceil(sizes["n"] / LEFT_BLOCK)
+    for n_pivots in (min(MAX_PIVOTS, math.ceil(sizes["n"] / VECTORS_PER_CELL)), coarse):
+        n_pivots = max(1, min(MAX_PIVOTS, n_pivots))
+        pivots = _pick_pivots(asked, n_pivots)
+        asked_cells = _to_cells(asked, pivots)
+        radius, left_rows = np.full(len(pivots), -np.inf), np.zeros(len(pivots), dtype=np.int64)
+        for r in asked_cells.groupBy("cell").agg(F.max("reach").alias("u"), F.count(F.lit(1)).alias("n")).collect():
+            radius[r["cell"]], left_rows[r["cell"]] = r["u"], r["n"]
+        bound = _bounds(points, pivots, radius, wanted)
+        targets = _to_targets(points, pivots, radius, bound)
+        right_rows = np.zeros(len(pivots), dtype=np.int64)
+        for r in targets.groupBy("cell").count().collect():
+            right_rows[r["cell"]] = r["count"]
+        # With many features most vectors are about equally far apart and go to most
+        # cells; then cells as large as a block need the fewest copies.
+        if n_pivots <= coarse or right_rows.sum() <= _MAX_COPIES * n_points:
+            break
     left_blocks = np.maximum(1, -(-left_rows // LEFT_BLOCK)).tolist()
     right_blocks = np.maximum(1, -(-right_rows // RIGHT_BLOCK)).tolist()
     a = _blocked(asked_cells.select("vec", "cell"), left_blocks, right_blocks, "lb", "rb")
@@ -207,6 +214,12 @@ def nearest(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
     return _attach(left, lists, sizes["n_rows"], sizes["top"], k)
 
 
+def _pick_pivots(asked: DataFrame, n: int) -> np.ndarray:
+    """A keyed sample of the left vectors, at most ``MAX_PIVOTS`` of them."""
+    shuffled = asked.select("vec").orderBy(F.md5(F.col("vec").cast("string")), "vec")
+    return np.array([r["vec"] for r in shuffled.limit(n).collect()])
+
+
 def _list_type(right: DataFrame) -> T.ArrayType:
     return T.ArrayType(T.StructType([
         T.StructField("d2", T.DoubleType()), right.schema["key"], right.schema["label"],

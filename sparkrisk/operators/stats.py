@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from sparkrisk.functions import column_type, ident, to_number
 
 # Distinct values one aggregation buffer may hold.
-DISTINCT_LIMIT = 100_000
+DISTINCT_LIMIT = 1_000_000
 _SKETCH_ACCURACY = 10_000
 _AGGREGATES_PER_JOB = 400
 
@@ -89,11 +89,12 @@ def quantiles(
     wide = [c for c in filled if seen[f"d|{c}"] > distinct_limit]
     direct = [c for c in filled if c not in wide]
     if direct and probs:
-        got = collect_stats(
-            df, {c: F.percentile(values[c], F.array(*[F.lit(float(p)) for p in probs])) for c in direct}
-        )
-        for c in direct:
-            out[c]["q"] = list(got[c])
+        # Equal values are added up by a shuffled group-by first, so the buffer of a
+        # column receives each distinct value once, however many tasks read it.
+        counts = value_counts_long(df, direct, numbers_only=True)
+        weighted = F.percentile("num", F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
+        for r in counts.groupBy("column").agg(weighted.alias("q")).collect():
+            out[r["column"]]["q"] = list(r["q"])
     if wide and probs:
         wanted = {c: [_rank_weights(out[c]["count"], p) for p in probs] for c in wide}
         ranks = {c: {k for low, high, _ in wanted[c] for k in (low, high)} for c in wide}
@@ -198,11 +199,11 @@ def _inside(c: str, s: dict) -> Column:
     return F.when(test, v)
 
 
-def value_counts_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def value_counts_long(df: DataFrame, columns: Sequence[str], numbers_only: bool = False) -> DataFrame:
     """``(column, num, txt, n)``: rows per present value of every column, text or number."""
     cells = []
     for c in columns:
-        if isinstance(column_type(df, c), T.StringType):
+        if isinstance(column_type(df, c), T.StringType) and not numbers_only:
             cells.append(F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"),
                                   ident(c).alias("txt")))
         else:
