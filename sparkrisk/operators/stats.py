@@ -17,13 +17,13 @@ from pyspark.sql import types as T
 
 from sparkrisk.functions import column_type, ident, to_number
 
-# Distinct values one aggregation buffer may hold.
-DISTINCT_LIMIT = 1_000_000
+# Values that one aggregation buffer may hold.
+DIRECT_LIMIT = 100_000
 _SKETCH_ACCURACY = 10_000
 _AGGREGATES_PER_JOB = 400
 
 
-def collect_stats(df: DataFrame, exprs: Mapping[str, Column]) -> dict:
+def collect_stats(df: DataFrame, exprs: Mapping) -> dict:
     """Evaluate many aggregates over one scan and return them by name."""
     names = list(exprs)
     out: dict = {}
@@ -63,7 +63,7 @@ def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    distinct_limit: int = DISTINCT_LIMIT,
+    direct_limit: int = DIRECT_LIMIT,
 ) -> dict[str, dict]:
     """Exact, linearly interpolated quantiles with count, min and max per column.
 
@@ -75,10 +75,7 @@ def quantiles(
     values = {c: to_number(ident(c), column_type(df, c)) for c in columns}
     first: dict[str, Column] = {}
     for c, v in values.items():
-        first[f"n|{c}"] = F.count(v)
-        first[f"lo|{c}"] = F.min(v)
-        first[f"hi|{c}"] = F.max(v)
-        first[f"d|{c}"] = F.approx_count_distinct(v, 0.02)
+        first[f"n|{c}"], first[f"lo|{c}"], first[f"hi|{c}"] = F.count(v), F.min(v), F.max(v)
     seen = collect_stats(df, first)
     out = {
         c: {"count": seen[f"n|{c}"], "min": seen[f"lo|{c}"], "max": seen[f"hi|{c}"],
@@ -86,25 +83,24 @@ def quantiles(
         for c in columns
     }
     filled = [c for c in columns if out[c]["count"]]
-    wide = [c for c in filled if seen[f"d|{c}"] > distinct_limit]
-    direct = [c for c in filled if c not in wide]
+    direct = [c for c in filled if out[c]["count"] <= direct_limit]
     if direct and probs:
-        # Equal values are added up by a shuffled group-by first, so the buffer of a
-        # column receives each distinct value once, however many tasks read it.
-        counts = value_counts_long(df, direct, numbers_only=True)
-        weighted = F.percentile("num", F.array(*[F.lit(float(p)) for p in probs]), F.col("n"))
-        for r in counts.groupBy("column").agg(weighted.alias("q")).collect():
-            out[r["column"]]["q"] = list(r["q"])
-    if wide and probs:
-        wanted = {c: [_rank_weights(out[c]["count"], p) for p in probs] for c in wide}
-        ranks = {c: {k for low, high, _ in wanted[c] for k in (low, high)} for c in wide}
-        narrow = df.select(*[values[c].alias(f"v{i}") for i, c in enumerate(wide)])
+        got = collect_stats(
+            df, {c: F.percentile(values[c], F.array(*[F.lit(float(p)) for p in probs])) for c in direct}
+        )
+        for c in direct:
+            out[c]["q"] = list(got[c])
+    large = [c for c in filled if c not in direct]
+    if large and probs:
+        wanted = {c: [_rank_weights(out[c]["count"], p) for p in probs] for c in large}
+        narrow = df.select(*[values[c].alias(f"v{i}") for i, c in enumerate(large)])
         found = _order_statistics(
             narrow,
-            {f"v{i}": {k: out[c]["count"] for k in ranks[c]} for i, c in enumerate(wide)},
-            distinct_limit,
+            {f"v{i}": (out[c]["count"], sorted({k for low, high, _ in wanted[c] for k in (low, high)}))
+             for i, c in enumerate(large)},
+            direct_limit,
         )
-        for i, c in enumerate(wide):
+        for i, c in enumerate(large):
             out[c]["q"] = [
                 _interpolate(found[f"v{i}", low], found[f"v{i}", high], weight)
                 for low, high, weight in wanted[c]
@@ -113,97 +109,104 @@ def quantiles(
 
 
 def _order_statistics(
-    df: DataFrame, ranks: Mapping[str, Mapping[int, int]], distinct_limit: int
+    df: DataFrame, ranks: Mapping[str, tuple[int, Sequence[int]]], direct_limit: int
 ) -> dict[tuple[str, int], float]:
-    """Value at every wanted 0-based rank of every column.
-
-    Each rank has an open interval known to hold its value. A mergeable sketch
-    proposes two cut values inside; exact counts below, at, between and above
-    the cuts then either name the value or give a smaller interval. A cut value
-    leaves the interval, so a value that fills a third of the column is settled
-    by its count. What is left is read by one aggregate once the distinct values
-    in the interval fit its buffer.
+    """Value at every wanted 0-based rank of every column: ``{column: (count, ranks)}``.
+
+    Each rank has an open interval known to hold its value. A mergeable sketch, one
+    per interval, proposes two cut values around the rank; exact counts below, at,
+    between and above the cuts then either name the value or give a smaller interval.
+    A cut value leaves the interval, so a value that fills a third of the column is
+    settled by its count. What is left is read by one aggregate once the rows in the
+    interval fit its buffer.
     """
     found: dict[tuple[str, int], float] = {}
     state = {
         (c, k): {"lo": None, "hi": None, "below": 0, "inside": n}
-        for c, by_rank in ranks.items() for k, n in by_rank.items()
+        for c, (n, wanted) in ranks.items() for k in wanted
     }
-    margin = 2.0 / _SKETCH_ACCURACY
     while state:
-        keys = list(state)
+        around = {key: _shares(key[1], s) for key, s in state.items()}
+        intervals: dict[tuple, set[float]] = {}
+        for (c, k), s in state.items():
+            intervals.setdefault((c, s["lo"], s["hi"]), set()).update(around[c, k])
+        asked = {at: sorted(shares) for at, shares in intervals.items()}
+        picked = collect_stats(df, {
+            at: F.percentile_approx(
+                _inside(*at), F.array(*[F.lit(p) for p in shares]), F.lit(_SKETCH_ACCURACY))
+            for at, shares in asked.items()
+        })
         cuts = {}
-        for at, (c, k) in enumerate(keys):
-            s = state[c, k]
-            share = (k - s["below"] + 0.5) / s["inside"]
-            cuts[str(at)] = F.percentile_approx(
-                _inside(c, s),
-                F.array(F.lit(max(0.0, share - margin)), F.lit(min(1.0, share + margin))),
-                F.lit(_SKETCH_ACCURACY),
-            )
-        picked = collect_stats(df, cuts)
+        for key, s in state.items():
+            at = (key[0], s["lo"], s["hi"])
+            by_share = dict(zip(asked[at], picked[at]))
+            cuts[key] = tuple(float(by_share[p]) for p in around[key])
         counts = {}
-        for at, (c, k) in enumerate(keys):
-            a, b = picked[str(at)]
+        for c, a, b in {(c, *cut) for (c, _), cut in cuts.items()}:
             v = F.col(c)
-            counts[f"lt{at}"] = F.count_if(v < a)
-            counts[f"at{at}"] = F.count_if(v == a)
             between = (v > a) & (v < b)
-            counts[f"in{at}"] = F.count_if(between)
-            counts[f"to{at}"] = F.count_if(v == b)
-            counts[f"d{at}"] = F.approx_count_distinct(F.when(between, v), 0.02)
+            counts["lt", c, a, b] = F.count_if(v < a)
+            counts["at", c, a, b] = F.count_if(v == a)
+            counts["in", c, a, b] = F.count_if(between)
+            counts["to", c, a, b] = F.count_if(v == b) if b != a else F.lit(0)
         counted = collect_stats(df, counts)
         last = {}
-        for at, key in enumerate(keys):
-            a, b = picked[str(at)]
-            s, k = state[key], key[1]
-            lt, eq, mid, top = (counted[f"{p}{at}"] for p in ("lt", "at", "in", "to"))
-            if b == a:
-                top = 0
+        for key, s in state.items():
+            c, k = key
+            a, b = cuts[key]
+            lt, eq, mid, top = (counted[part, c, a, b] for part in ("lt", "at", "in", "to"))
             if k < lt:
                 s.update(hi=a, inside=lt - s["below"])
             elif k < lt + eq:
                 found[key] = a
             elif k < lt + eq + mid:
                 s.update(lo=a, hi=b, below=lt + eq, inside=mid)
-                if counted[f"d{at}"] <= distinct_limit:
+                if mid <= direct_limit:
                     last[key] = s
             elif k < lt + eq + mid + top:
                 found[key] = b
             else:
-                s.update(lo=b, below=lt + eq + mid + top,
-                         inside=s["below"] + s["inside"] - (lt + eq + mid + top))
+                end = lt + eq + mid + top
+                s.update(lo=b, inside=s["below"] + s["inside"] - end, below=end)
         if last:
-            picks = {}
-            for at, ((c, k), s) in enumerate(last.items()):
-                share = (k - s["below"] + 0.5) / s["inside"]
-                picks[str(at)] = F.expr(
-                    f"percentile_disc(CAST('{share!r}' AS DOUBLE)) WITHIN GROUP (ORDER BY CASE WHEN "
-                    f"{c} > CAST('{s['lo']!r}' AS DOUBLE) AND {c} < CAST('{s['hi']!r}' AS DOUBLE) "
-                    f"THEN {c} END)"
-                )
-            got = collect_stats(df, picks)
-            for at, key in enumerate(last):
-                found[key] = got[str(at)]
+            found.update(collect_stats(df, {
+                (c, k): _ranked_value(c, (k - s["below"] + 0.5) / s["inside"], s["lo"], s["hi"])
+                for (c, k), s in last.items()
+            }))
         state = {key: s for key, s in state.items() if key not in found}
     return found
 
 
-def _inside(c: str, s: dict) -> Column:
+def _shares(k: int, s: dict) -> tuple[float, float]:
+    """Two shares around a rank, on a grid so that neighbouring ranks ask for the same cuts."""
+    at = math.floor((k - s["below"] + 0.5) / s["inside"] * _SKETCH_ACCURACY)
+    return max(0, at - 2) / _SKETCH_ACCURACY, min(_SKETCH_ACCURACY, at + 3) / _SKETCH_ACCURACY
+
+
+def _ranked_value(c: str, share: float, lo: float, hi: float) -> Column:
+    def number(x: float) -> str:
+        return f"CAST('{x!r}' AS DOUBLE)"
+    return F.expr(
+        f"percentile_disc({number(share)}) WITHIN GROUP (ORDER BY CASE WHEN {c} > {number(lo)} "
+        f"AND {c} < {number(hi)} THEN {c} END)"
+    )
+
+
+def _inside(c: str, lo: float | None, hi: float | None) -> Column:
     v = F.col(c)
     test = v.isNotNull()
-    if s["lo"] is not None:
-        test = test & (v > s["lo"])
-    if s["hi"] is not None:
-        test = test & (v < s["hi"])
+    if lo is not None:
+        test = test & (v > lo)
+    if hi is not None:
+        test = test & (v < hi)
     return F.when(test, v)
 
 
-def value_counts_long(df: DataFrame, columns: Sequence[str], numbers_only: bool = False) -> DataFrame:
+def value_counts_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, num, txt, n)``: rows per present value of every column, text or number."""
     cells = []
     for c in columns:
-        if isinstance(column_type(df, c), T.StringType) and not numbers_only:
+        if isinstance(column_type(df, c), T.StringType):
             cells.append(F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"),
                                   ident(c).alias("txt")))
         else:
