@@ -46,6 +46,11 @@ def to_number(c: Column, dtype: T.DataType) -> Column:
     return parsed
 
 
+def number_or_null(c: Column) -> Column:
+    """A numeric column as double, NaN as NULL (NaN compares above every limit)."""
+    return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
+
+
 def as_text(c: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
         return c

@@ -92,7 +92,7 @@ def best_feature(long: DataFrame) -> DataFrame:
 
 def shap_dependence(long: DataFrame) -> DataFrame:
     """``(key, value, shap)`` rows of the most important feature."""
-    return long.join(F.broadcast(best_feature(long)), "feature", "left_semi").drop("feature")
+    return long.where(F.col("feature") == best_feature(long).scalar()).drop("feature")
 
 
 def shap_local(long: DataFrame, key: str, value, base: float) -> DataFrame:
@@ -185,15 +185,9 @@ def tree_base(model) -> float:
     return _leaf_games(leaf_paths(model))[1]
 
 
-def tree_shap(df: DataFrame, model, names: Sequence[str], key: str) -> DataFrame:
-    """``key``, one attribution column per feature, and ``margin``.
-
-    ``df`` holds the encoded features. Trees are shallow, so the exact values over the
-    few features of each path are summed per Arrow batch.
-    """
-    leaves = leaf_paths(model)
-    games, base = _leaf_games(leaves)
-    width = len(names)
+def _attributed(df: DataFrame, model, names: Sequence[str], key: str) -> tuple[DataFrame, float]:
+    """Key and features with the array ``phi``; and the base value."""
+    games, base = _leaf_games(leaf_paths(model))
 
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def attribute(x: pd.Series) -> pd.Series:
@@ -202,20 +196,28 @@ def tree_shap(df: DataFrame, model, names: Sequence[str], key: str) -> DataFrame
         return pd.Series(list(_attributions(np.stack(x.to_numpy()), games)))
 
     given = F.array(*[ident(c).cast("double") for c in names])
-    values = df.select(ident(key), attribute(given).alias("phi"))
+    return df.select(ident(key), *[ident(c) for c in names], attribute(given).alias("phi")), base
+
+
+def tree_shap(df: DataFrame, model, names: Sequence[str], key: str) -> DataFrame:
+    """``key``, one attribution column per feature, and ``margin``.
+
+    ``df`` holds the encoded features. Trees are shallow, so the exact values over the
+    few features of each path are summed per Arrow batch.
+    """
+    values, base = _attributed(df, model, names, key)
     margin = F.aggregate("phi", F.lit(float(base)), lambda a, v: a + v)
-    return values.select(ident(key), *[F.col("phi")[j].alias(names[j]) for j in range(width)], margin.alias("margin"))
+    return values.select(
+        ident(key), *[F.col("phi")[j].alias(c) for j, c in enumerate(names)], margin.alias("margin")
+    )
 
 
 def tree_shap_long(df: DataFrame, model, names: Sequence[str], key: str) -> DataFrame:
     """``(key, feature, value, shap)`` of :func:`tree_shap`."""
-    wide = tree_shap(df, model, names, key).select(
-        ident(key), F.struct(*[ident(c) for c in names]).alias("phi")
-    )
-    joined = df.select(ident(key), *[ident(c) for c in names]).join(wide, key)
-    return joined.select(ident(key), F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), ident(c).cast("double").alias("value"), F.col("phi")[c].alias("shap"))
-        for c in names
+    values, _ = _attributed(df, model, names, key)
+    return values.select(ident(key), F.inline(F.array(*[
+        F.struct(F.lit(c).alias("feature"), ident(c).cast("double").alias("value"), F.col("phi")[j].alias("shap"))
+        for j, c in enumerate(names)
     ])))
 
 

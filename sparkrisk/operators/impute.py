@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkrisk.functions import column_type, ident, is_legal, present
 from sparkrisk.operators import stats
@@ -21,6 +22,13 @@ def fill_value(df: DataFrame, column: str, value) -> Column:
     return F.lit(value)
 
 
+def _missing_as_null(df: DataFrame, column: str) -> Column:
+    dtype = column_type(df, column)
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
+        return F.nanvl(ident(column), F.lit(None).cast(dtype))
+    return ident(column)
+
+
 class IllegalToMode(FitFirst):
     """Learn one mode per ruled column.
 
@@ -99,5 +107,6 @@ class MissingFillModel(Learned):
 
     def _transform(self, df: DataFrame) -> DataFrame:
         return df.withColumns({
-            c: F.coalesce(ident(c), fill_value(df, c, self.fills[c])) for c in present(df, self.fills)
+            c: F.coalesce(_missing_as_null(df, c), fill_value(df, c, self.fills[c]))
+            for c in present(df, self.fills)
         })

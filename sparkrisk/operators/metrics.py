@@ -32,9 +32,12 @@ def _hits(truth: Column, predicted: Column) -> dict[str, Column]:
     }
 
 
-def confusion(df: DataFrame, truth: str = "y_true", predicted: str = "y_pred", by: Sequence[str] = ()) -> DataFrame:
-    """The four cells as columns, also where a class never occurs."""
-    cells = [c.alias(n) for n, c in _hits(ident(truth), ident(predicted)).items()]
+def confusion(
+    df: DataFrame, truth: str = "y_true", predicted: str = "y_pred", by: Sequence[str] = (),
+    extra: Mapping[str, Column] | None = None,
+) -> DataFrame:
+    """The four cells as columns, also where a class never occurs, and own aggregates."""
+    cells = [c.alias(n) for n, c in {**_hits(ident(truth), ident(predicted)), **(extra or {})}.items()]
     return df.groupBy(*by).agg(*cells) if by else df.agg(*cells)
 
 
@@ -51,9 +54,12 @@ def _ratios() -> dict[str, Column]:
     }
 
 
-def class_metrics(df: DataFrame, truth: str = "y_true", predicted: str = "y_pred", by: Sequence[str] = ()) -> DataFrame:
+def class_metrics(
+    df: DataFrame, truth: str = "y_true", predicted: str = "y_pred", by: Sequence[str] = (),
+    extra: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """Cells, accuracy, precision, recall, F1 and geometric mean; undefined ratios are 0."""
-    return confusion(df, truth, predicted, by).withColumns(_ratios())
+    return confusion(df, truth, predicted, by, extra).withColumns(_ratios())
 
 
 def score_buckets(df: DataFrame, score: str) -> list[float]:
@@ -137,15 +143,18 @@ def rank_metrics(
 
 def evaluate(
     df: DataFrame, truth: str = "y_true", predicted: str = "y_pred", score: str | None = "y_proba",
-    by: Sequence[str] = (),
+    by: Sequence[str] = (), extra: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """All metrics of a prediction table in one row (one per group with ``by``)."""
     by = list(by)
-    out = class_metrics(df, truth, predicted, by)
+    out = class_metrics(df, truth, predicted, by, extra)
     if score is None or score not in df.columns:
         return out
     ranked = rank_metrics(df, truth, score, by)
-    return out.join(F.broadcast(ranked), by) if by else out.join(F.broadcast(ranked))
+    if by:
+        return out.join(ranked, by)
+    both = ranked.select(F.struct("roc_auc", "average_precision")).scalar()
+    return out.withColumn("ranked", both).select("*", "ranked.roc_auc", "ranked.average_precision").drop("ranked")
 
 
 def metrics_document(metrics: DataFrame) -> DataFrame:
@@ -224,9 +233,9 @@ def class_distribution(df: DataFrame, target: str, labels: Mapping | None = None
     label = F.col("value").cast("string")
     for value, text in (labels or {}).items():
         label = F.when(F.col("value") == value, text).otherwise(label)
-    return counts.join(F.broadcast(total)).select(
+    return counts.select(
         F.col("value").alias("class"), label.alias("label"), "n",
-        (100.0 * F.try_divide(F.col("n"), F.col("total"))).alias("pct"),
+        (100.0 * F.try_divide(F.col("n"), total.scalar())).alias("pct"),
     )
 
 

@@ -33,7 +33,9 @@ RIGHT_BLOCK = 32_768
 # Copies of a right vector, on average, beyond which small cells do not pay.
 _MAX_COPIES = 16
 _TILE = 2_000_000
-# Vectors shared by more rows than this part of the table are joined by broadcast.
+# Vectors shared by more rows than this, and than this part of the table, are joined
+# by broadcast; there are at most _HOT_PARTS of them.
+_HOT_ROWS = 100_000
 _HOT_PARTS = 4_096
 _SLACK = 1e-9
 
@@ -260,7 +262,7 @@ def _attach(left: DataFrame, lists: DataFrame, n_rows: int, top: int, k: int) ->
     Vectors shared by more than 1/4096 of the rows (so at most 4096 of them) are
     joined by broadcast, all others by shuffle.
     """
-    hot_from = max(100_000, n_rows // _HOT_PARTS)
+    hot_from = max(_HOT_ROWS, n_rows // _HOT_PARTS)
     if top > hot_from:
         hot = F.broadcast(lists.where(F.col("n_rows") > hot_from).select("vec", F.col("near").alias("hot")))
         cold = lists.where(F.col("n_rows") <= hot_from).select("vec", "near")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparkrisk.functions import ident, numeric_columns, present
+from sparkrisk.functions import ident, number_or_null, numeric_columns, present
 from sparkrisk.operators import stats
 from sparkrisk.operators.profile import percent
 from sparkrisk.operators.stages import FitFirst, Learned, TypeConverters, keyword_only, make_param
@@ -50,7 +50,7 @@ def limits_table(df: DataFrame, found: Mapping[str, Sequence[float]]) -> DataFra
 
 def outside(column: str, bounds: Sequence[float]) -> Column:
     """True for a present value beyond the limits; false, not NULL, for a missing one."""
-    c = ident(column).cast("double")
+    c = number_or_null(ident(column))
     return F.coalesce((c < bounds[0]) | (c > bounds[1]), F.lit(False))
 
 
@@ -93,7 +93,7 @@ class OutlierCapperModel(Learned):
         capped = {}
         for c in present(df, self.limits):
             lo, hi = self.limits[c]
-            v = ident(c).cast("double")
+            v = number_or_null(ident(c))
             capped[c] = F.when(v < lo, F.lit(lo)).when(v > hi, F.lit(hi)).otherwise(v)
         return df.withColumns(capped)
 
@@ -166,7 +166,7 @@ def outliers_to_mean(
     found = limits(df, names)
     exprs = {}
     for c, b in found.items():
-        v = ident(c).cast("double")
+        v = number_or_null(ident(c))
         exprs[f"n|{c}"] = F.count_if(outside(c, b))
         exprs[f"m|{c}"] = F.avg(F.when(~outside(c, b), v))
     got = stats.collect_stats(df, exprs) if exprs else {}
@@ -177,5 +177,5 @@ def outliers_to_mean(
             if stop_at_first_clean:
                 break
             continue
-        replaced[c] = F.when(outside(c, found[c]), F.lit(mean)).otherwise(ident(c).cast("double"))
+        replaced[c] = F.when(outside(c, found[c]), F.lit(mean)).otherwise(number_or_null(ident(c)))
     return df.withColumns(replaced)

@@ -26,14 +26,17 @@ def _keyed(df: DataFrame, features: Sequence[str], target: str, key: str) -> Dat
                      vector(features).alias("vec"))
 
 
-def _synthesise(seeds: DataFrame, need: int, seed: int, n_seeds: int) -> DataFrame:
-    """``(key, copy, vec)``: points between a row and one of its neighbours."""
+def _synthesise(starts: DataFrame, seeds: DataFrame, need: int, seed: int, n_seeds: int) -> DataFrame:
+    """``(key, copy, vec)``: points between a row and one of its neighbours.
+
+    ``seeds`` are the rows ``starts`` with their neighbours.
+    """
     each, extra = divmod(need, n_seeds)
     ranked = order_key(f"{seed}:extra", F.col("key"))
     copies = F.lit(each)
     if extra:
         cut = keys_at_ranks(
-            seeds.select(F.lit("all").alias("stratum"), ranked.alias("key")), {"all": n_seeds}, {"all": [extra]}
+            starts.select(F.lit("all").alias("stratum"), ranked.alias("key")), {"all": n_seeds}, {"all": [extra]}
         )["all", extra]
         copies = copies + F.when(ranked < cut, 1).otherwise(0)
     many = seeds.withColumn("copies", copies).where(F.col("copies") > 0).select(
@@ -81,7 +84,7 @@ def smote(
             raise ValueError(f"class {label} has {sizes[label]} rows, {k + 1} are needed for {k} neighbours")
         mine = rows.where(F.col("label") == label)
         seeds = nearest(mine, mine, k)
-        made.append((label, _synthesise(seeds, most - sizes[label], seed, sizes[label])))
+        made.append((label, _synthesise(mine, seeds, most - sizes[label], seed, sizes[label])))
     return _append(df, made, features, target, key)
 
 
@@ -115,7 +118,7 @@ def borderline_smote(
         n_danger = danger.count()
         if n_danger:
             seeds = nearest(danger, rows.where(F.col("label") == label), k)
-            made.append((label, _synthesise(seeds, most - sizes[label], seed, n_danger)))
+            made.append((label, _synthesise(danger, seeds, most - sizes[label], seed, n_danger)))
     return _append(df, made, features, target, key)
 
 

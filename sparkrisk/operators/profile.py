@@ -44,12 +44,10 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
-    """``(value, n, share)``; the total is one number joined back by broadcast."""
+    """``(value, n, share)``; the total is a scalar subquery."""
     counts = value_counts(df, column)
     total = df.agg(F.count(ident(column)).alias("total"))
-    return counts.join(F.broadcast(total)).select(
-        "value", "n", F.try_divide(F.col("n"), F.col("total")).alias("share")
-    )
+    return counts.select("value", "n", F.try_divide(F.col("n"), total.scalar()).alias("share"))
 
 
 def dirty_cells(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -71,7 +71,7 @@ def split_report(df: DataFrame, target: str = TARGET, split: str = "split") -> D
         F.count(F.lit(1)).alias("n")
     )
     totals = counts.groupBy("split").agg(F.sum("n").alias("side"))
-    return counts.join(F.broadcast(totals), "split").select(
+    return counts.join(totals, "split").select(
         "split", "class", "n", F.try_divide(F.col("n"), F.col("side")).alias("share")
     )
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrisk.functions import ident
@@ -74,7 +74,8 @@ class TrainingPipeline(Estimator):
 
 
 def fold_scores(
-    labelled: DataFrame, pipeline: TrainingPipeline, folds: int, repeats: int, parallelism: int = 4
+    labelled: DataFrame, pipeline: TrainingPipeline, folds: int, repeats: int, parallelism: int = 4,
+    scorers: Mapping[str, Column] | None = None,
 ) -> list[dict]:
     """One entry per fit and side. ``labelled`` has ``fold_0 ..``; a few fits run at once."""
     target = pipeline.spec.target
@@ -86,12 +87,13 @@ def fold_scores(
         fitted = pipeline.fit(labelled.where(~held_out).drop(*sides))
         scored = fitted.transform(labelled.withColumn("side", F.when(held_out, "test").otherwise("train")))
         scored = scored.select("side", ident(target).alias("y_true"), "y_pred", "y_score")
-        rows = metrics.evaluate(scored, score="y_score", by=["side"]).collect()
+        rows = metrics.evaluate(scored, score="y_score", by=["side"], extra=scorers).collect()
         return [{"repeat": r, "fold": f, **row.asDict()} for row in rows]
 
     points = [(r, f) for r in range(repeats) for f in range(folds)]
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        jobs = [pool.submit(inheritable_thread_target(one), p) for p in points]
+        run = inheritable_thread_target(labelled.sparkSession)(one)
+        jobs = [pool.submit(run, p) for p in points]
         return [entry for job in jobs for entry in job.result()]
 
 
@@ -103,17 +105,20 @@ def cross_validate(
     seed: int = SEED,
     metric_names: Sequence[str] = METRICS,
     parallelism: int = 4,
+    scorers: Mapping[str, Column] | None = None,
 ) -> DataFrame:
     """``(model, metric, test_mean, test_std, train_mean, train_std)``.
 
-    Everything that learns is fitted again on the train part of each fold. The summary
-    is computed from 2 x folds x repeats score rows.
+    Everything that learns is fitted again on the train part of each fold. ``scorers``
+    adds own metrics: aggregates over ``y_true``, ``y_pred`` and ``y_score``. The
+    summary is computed from 2 x folds x repeats score rows.
     """
+    metric_names = [*metric_names, *(scorers or {})]
     spark = df.sparkSession
     labelled = repeated_folds(df, pipeline.key, pipeline.spec.target, folds, repeats, seed)
     labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        entries = fold_scores(labelled, pipeline, folds, repeats, parallelism)
+        entries = fold_scores(labelled, pipeline, folds, repeats, parallelism, scorers)
     finally:
         labelled.unpersist()
     columns = ["repeat", "fold", "side", *metric_names]
