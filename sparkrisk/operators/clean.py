@@ -129,7 +129,12 @@ def all_rules(df: DataFrame, rules: Mapping[str, Sequence]) -> Column:
 
 
 def filter_by_rules(df: DataFrame, rules: Mapping[str, Sequence]) -> DataFrame:
-    return df.where(all_rules(df, rules))
+    """Rows that keep all rules. A missing value fails the bare membership tests as well,
+    and those can be handed to the file scan."""
+    out = df
+    for c in present(df, rules):
+        out = out.where(ident(c).isin(list(rules[c])))
+    return out
 
 
 def rule_filter_report(df: DataFrame, rules: Mapping[str, Sequence]) -> DataFrame:

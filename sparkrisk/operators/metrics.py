@@ -84,14 +84,36 @@ def score_steps(
         *[ident(c) for c in by], ident(score).cast("double").alias("score"), ident(truth).alias("y")
     ).where(F.col("score").isNotNull() & F.col("y").isNotNull())
     cuts = score_buckets(scored, "score") if cuts is None else sorted(set(cuts))
-    if cuts:
-        edges = [-math.inf, *cuts, math.inf]
-        scored = Bucketizer(splits=edges, inputCol="score", outputCol="bucket", handleInvalid="keep").transform(scored)
-    else:
-        scored = scored.withColumn("bucket", F.lit(0.0))
-    counts = scored.groupBy(*by, "bucket", "score").agg(
+    steps = _bucketed_steps(scored, by, cuts) if cuts else _plain_steps(scored, by)
+    return (
+        steps.withColumn("repeats_next", F.coalesce(F.col("following") == F.struct("pos", "neg"), F.lit(False)))
+        .withColumn("is_last", F.col("following").isNull())
+        .drop("following")
+    )
+
+
+def _per_score(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return scored.groupBy(*keys, "score").agg(
         F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
     )
+
+
+def _plain_steps(scored: DataFrame, by: list[str]) -> DataFrame:
+    """For tables known to fit one bucket."""
+    down = Window.partitionBy(*by).orderBy(F.desc("score"))
+    upto = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy(*by)
+    return _per_score(scored, by).select(
+        *by, "score", "pos", "neg", F.sum("pos").over(whole).alias("P"), F.sum("neg").over(whole).alias("N"),
+        F.sum("pos").over(upto).alias("tp"), F.sum("neg").over(upto).alias("fp"),
+        F.lead(F.struct("pos", "neg")).over(down).alias("following"),
+    )
+
+
+def _bucketed_steps(scored: DataFrame, by: list[str], cuts: Sequence[float]) -> DataFrame:
+    edges = [-math.inf, *cuts, math.inf]
+    placed = Bucketizer(splits=edges, inputCol="score", outputCol="bucket", handleInvalid="keep").transform(scored)
+    counts = _per_score(placed, [*by, "bucket"])
     # One row per bucket (at most _MAX_BUCKETS per group): totals above, and the
     # counts at the bucket's highest score for the bucket above to look at.
     down = Window.partitionBy(*by).orderBy(F.desc("bucket"))
@@ -110,18 +132,12 @@ def score_steps(
     )
     inside = Window.partitionBy(*by, "bucket").orderBy(F.desc("score"))
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    following = F.coalesce(F.lead(F.struct("pos", "neg")).over(inside), F.col("next_bucket"))
-    return (
-        counts.join(F.broadcast(totals), [*by, "bucket"])
-        .select(
-            *by, "score", "pos", "neg", "P", "N",
-            (F.col("pos_above") + F.sum("pos").over(upto)).alias("tp"),
-            (F.col("neg_above") + F.sum("neg").over(upto)).alias("fp"),
-            following.alias("following"),
-        )
-        .withColumn("repeats_next", F.coalesce(F.col("following") == F.struct("pos", "neg"), F.lit(False)))
-        .withColumn("is_last", F.col("following").isNull())
-        .drop("following")
+    # The optimizer broadcasts the short table of totals where it is small enough.
+    return counts.join(totals, [*by, "bucket"]).select(
+        *by, "score", "pos", "neg", "P", "N",
+        (F.col("pos_above") + F.sum("pos").over(upto)).alias("tp"),
+        (F.col("neg_above") + F.sum("neg").over(upto)).alias("fp"),
+        F.coalesce(F.lead(F.struct("pos", "neg")).over(inside), F.col("next_bucket")).alias("following"),
     )
 
 

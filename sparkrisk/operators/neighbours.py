@@ -153,11 +153,23 @@ def _fold_equal_vectors(points: DataFrame, keep: int) -> DataFrame:
     The row-number filter is applied before the shuffle as well, so a vector shared
     by very many rows sends few of them from each task.
     """
-    order = Window.partitionBy("vec").orderBy("key")
+    return _first_of_each(points, "vec", ["key"], keep, F.struct("key", "label"), "members").select(
+        "vec", F.col("members")[0]["key"].alias("first_key"), "members"
+    )
+
+
+def _first_of_each(df: DataFrame, group: str, order: Sequence[str], n: int, item: Column, output: str) -> DataFrame:
+    """``(group, output)``: array of the first ``n`` items of each group, in order.
+
+    The list is gathered by a window over the rows left, so that the partitioning and
+    the order of the row numbers serve it too.
+    """
+    place = Window.partitionBy(group).orderBy(*order)
+    everything = place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
-        points.withColumn("place", F.row_number().over(order)).where(F.col("place") <= keep)
-        .groupBy("vec").agg(F.sort_array(F.collect_list(F.struct("key", "label"))).alias("members"))
-        .select("vec", F.col("members")[0]["key"].alias("first_key"), "members")
+        df.withColumn("place", F.row_number().over(place)).where(F.col("place") <= n)
+        .withColumn(output, F.collect_list(item).over(everything))
+        .where(F.col("place") == 1).select(group, output)
     )
 
 
@@ -205,12 +217,9 @@ def nearest(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
             T.StructField("point", T.ArrayType(T.DoubleType())), points.schema["members"],
         ]),
     )
-    best = Window.partitionBy("vec").orderBy("d2", "key")
-    lists = (
-        found.select("vec", "d2", "point", F.inline("members"))
-        .withColumn("place", F.row_number().over(best)).where(F.col("place") <= wanted)
-        .groupBy("vec").agg(F.sort_array(F.collect_list(
-            F.struct("d2", "key", "label", F.col("point").alias("vec")))).alias("near"))
+    lists = _first_of_each(
+        found.select("vec", "d2", "point", F.inline("members")), "vec", ["d2", "key"], wanted,
+        F.struct("d2", "key", "label", F.col("point").alias("vec")), "near",
     )
     lists = asked.join(lists, "vec", "left")
     return _attach(left, lists, sizes["n_rows"], sizes["top"], k)

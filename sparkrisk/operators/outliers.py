@@ -6,8 +6,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sparkrisk.functions import ident, number_or_null, numeric_columns, present
+from sparkrisk.functions import column_type, ident, number_or_null, numeric_columns, present
 from sparkrisk.operators import stats
 from sparkrisk.operators.profile import percent
 from sparkrisk.operators.stages import FitFirst, Learned, TypeConverters, keyword_only, make_param
@@ -108,7 +109,19 @@ class OutlierCapperModel(Learned):
 def detect_outliers(df: DataFrame, column: str) -> DataFrame:
     """Rows whose value lies beyond the interquartile limits of ``column``."""
     found = limits(df, [column])
-    return df.where(outside(column, found[column])) if column in found else df.limit(0)
+    if column not in found:
+        return df.limit(0)
+    lo, hi = found[column]
+    v, real = _bare(df, column)
+    return df.where(((v < lo) | (v > hi)) & real)
+
+
+def _bare(df: DataFrame, column: str) -> tuple[Column, Column]:
+    """The column in a form that filters can hand to the file scan, and a test that it is
+    not NaN (which compares above every number)."""
+    if isinstance(column_type(df, column), T.DoubleType):
+        return ident(column), ~F.isnan(ident(column))
+    return ident(column).cast("double"), F.lit(True)
 
 
 def outlier_report(df: DataFrame, columns: Sequence[str], total: bool = True) -> DataFrame:
@@ -139,7 +152,7 @@ def remove_outliers(df: DataFrame, columns: Sequence[str]) -> tuple[DataFrame, l
             out = out.where(F.lit(False))
             continue
         lo, hi = found[c]
-        out = out.where(ident(c).cast("double").between(lo, hi))
+        out = out.where(_bare(df, c)[0].between(lo, hi))
         steps.append({"step": i + 1, "column": c, "lower": lo, "upper": hi})
     return out, steps
 
