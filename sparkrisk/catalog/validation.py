@@ -31,7 +31,8 @@ def mode_impute_all(spark, folder):
 
 def median_impute(spark, folder):
     df = mixed(spark, folder)
-    return rounded(MissingFill(median=["quantity", "price"]).fit(df).transform(df))
+    filled = MissingFill(median=["quantity", "price"]).fit(df).transform(df)
+    return rounded(filled.withColumn("line", filled["line"].cast("double")))
 
 
 def most_frequent_impute(spark, folder):
@@ -95,7 +96,7 @@ SQL = {
     "median_impute": f"""WITH {MIXED} SELECT l_orderkey, l_partkey,
       ROUND(COALESCE(quantity, (SELECT quantile_cont(quantity, 0.5) FROM mixed)), 6) AS quantity,
       ROUND(COALESCE(price, (SELECT quantile_cont(price, 0.5) FROM mixed)), 6) AS price,
-      flag, status, line, ROUND(tax, 6) AS tax FROM mixed""",
+      flag, status, CAST(line AS DOUBLE) AS line, ROUND(tax, 6) AS tax FROM mixed""",
     "most_frequent_impute": f"""WITH {MIXED} SELECT l_orderkey, l_partkey, ROUND(quantity, 6) AS quantity,
       ROUND(price, 6) AS price, COALESCE(flag, {_mode('flag', 'mixed')}) AS flag, status,
       COALESCE(line, {_mode('line', 'mixed')}) AS line, ROUND(tax, 6) AS tax FROM mixed""",

@@ -50,8 +50,7 @@ def vector(features: Sequence[str]) -> Column:
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    flat = column.flatten() if isinstance(column, pa.ListArray) else column.combine_chunks().flatten()
-    return np.asarray(flat).reshape(-1, width)
+    return np.asarray(column.flatten()).reshape(-1, width)
 
 
 def squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -63,19 +62,28 @@ def squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return out
 
 
+def _tiles(batches, width: int, pivots: np.ndarray):
+    """Slices of Arrow batches with their vectors and squared distances to all pivots,
+    small enough that the distance matrix stays a few megabytes."""
+    step = max(1, _TILE // len(pivots))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            tile = batch.slice(start, step)
+            x = _matrix(tile.column("vec"), width)
+            yield tile, x, squared_distances(x, pivots)
+
+
 def _to_cells(df: DataFrame, pivots: np.ndarray) -> DataFrame:
     """Adds ``cell`` and ``reach``: nearest pivot and the distance to it."""
     width = pivots.shape[1]
 
     def nearest_pivot(batches):
-        for batch in batches:
-            x = _matrix(batch.column("vec"), width)
-            d2 = squared_distances(x, pivots)
+        for tile, x, d2 in _tiles(batches, width, pivots):
             cell = d2.argmin(axis=1)
             reach = np.sqrt(d2[np.arange(len(x)), cell])
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell, pa.int32()), pa.array(reach, pa.float64())],
-                names=[*batch.schema.names, "cell", "reach"],
+                [*tile.columns, pa.array(cell, pa.int32()), pa.array(reach, pa.float64())],
+                names=[*tile.schema.names, "cell", "reach"],
             )
 
     schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType()),
@@ -86,14 +94,12 @@ def _to_cells(df: DataFrame, pivots: np.ndarray) -> DataFrame:
 def _to_targets(df: DataFrame, pivots: np.ndarray, radius: np.ndarray, bound: np.ndarray) -> DataFrame:
     """Repeats each right vector for every cell in which it may be a neighbour."""
     width = pivots.shape[1]
-    apart = np.sqrt(squared_distances(pivots, pivots))
     limit = (radius + bound) * (1 + _SLACK) + _SLACK
     within = bound * (1 + _SLACK) + _SLACK
 
     def spread(batches):
-        for batch in batches:
-            x = _matrix(batch.column("vec"), width)
-            d2 = squared_distances(x, pivots)
+        apart = np.sqrt(squared_distances(pivots, pivots))
+        for tile, x, d2 in _tiles(batches, width, pivots):
             own = d2.argmin(axis=1)
             near = np.sqrt(d2) <= limit[None, :]
             # Distance to the plane halfway between the own pivot and the cell's pivot.
@@ -102,9 +108,9 @@ def _to_targets(df: DataFrame, pivots: np.ndarray, radius: np.ndarray, bound: np
                 plane = (d2 - d2[np.arange(len(x)), own][:, None]) / (2 * between)
             near &= (between == 0) | (plane <= within[None, :])
             at, cell = np.nonzero(near)
-            taken = batch.take(pa.array(at))
+            taken = tile.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array(cell, pa.int32())], names=[*batch.schema.names, "cell"]
+                [*taken.columns, pa.array(cell, pa.int32())], names=[*tile.schema.names, "cell"]
             )
 
     return df.mapInArrow(spread, T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType())]))

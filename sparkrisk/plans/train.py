@@ -115,12 +115,10 @@ def cross_validate(
     """
     metric_names = [*metric_names, *(scorers or {})]
     spark = df.sparkSession
+    # Folds are comparisons with literals, so they are not stored: every pass reads the
+    # columns it needs from ``df``, which should be a stored table.
     labelled = repeated_folds(df, pipeline.key, pipeline.spec.target, folds, repeats, seed)
-    labelled = labelled.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        entries = fold_scores(labelled, pipeline, folds, repeats, parallelism, scorers)
-    finally:
-        labelled.unpersist()
+    entries = fold_scores(labelled, pipeline, folds, repeats, parallelism, scorers)
     columns = ["repeat", "fold", "side", *metric_names]
     types = "repeat int, fold int, side string, " + ", ".join(f"{m} double" for m in metric_names)
     table = spark.createDataFrame([[e[c] for c in columns] for e in entries], types)

@@ -31,7 +31,8 @@ def scratch_root(spark: SparkSession) -> str:
     Only where the setting is absent (tests on one machine) is a fresh
     temporary folder used, and it is registered as the checkpoint folder.
     """
-    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    setting = "spark.checkpoint.dir"
+    configured = spark.conf.get(setting, None) or spark.sparkContext.getConf().get(setting, None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
