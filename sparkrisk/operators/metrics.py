@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sparkrisk.functions import ident
 from sparkrisk.operators.profile import value_counts
+from sparkrisk.operators.stats import approximate_quantiles
 from sparkrisk.spec import CLASS_LABELS, METRICS
 
 _SCORES_PER_BUCKET = 250_000
@@ -69,8 +70,8 @@ def score_buckets(df: DataFrame, score: str) -> list[float]:
     if buckets <= 1:
         return []
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(ident(score), shares, 10 * buckets)).first()[0]
-    return sorted(set(cuts))
+    narrow = df.select(ident(score).cast("double").alias("score"))
+    return sorted(set(approximate_quantiles(narrow, "score", shares)))
 
 
 def score_steps(

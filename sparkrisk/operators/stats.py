@@ -19,7 +19,11 @@ from sparkrisk.functions import column_type, ident, to_number
 
 # Values that one aggregation buffer may hold.
 DIRECT_LIMIT = 100_000
-_SKETCH_ACCURACY = 10_000
+# Sketch size and grid of shares (three times the sketch error) for columns up to
+# _SKETCH_ROWS values and beyond. Any sketch gives exact results; a better one, fewer rounds.
+_SKETCHES = ((4_096, 1_000), (32_768, 6_000))
+_SKETCH_ROWS = 100_000_000
+_MERGE_TASKS = 64
 _AGGREGATES_PER_JOB = 400
 
 
@@ -125,17 +129,14 @@ def _order_statistics(
         (c, k): {"lo": None, "hi": None, "below": 0, "inside": n}
         for c, (n, wanted) in ranks.items() for k in wanted
     }
+    size, grid = _SKETCHES[max(n for n, _ in ranks.values()) > _SKETCH_ROWS]
     while state:
-        around = {key: _shares(key[1], s) for key, s in state.items()}
+        around = {key: _shares(key[1], s, grid) for key, s in state.items()}
         intervals: dict[tuple, set[float]] = {}
         for (c, k), s in state.items():
             intervals.setdefault((c, s["lo"], s["hi"]), set()).update(around[c, k])
         asked = {at: sorted(shares) for at, shares in intervals.items()}
-        picked = collect_stats(df, {
-            at: F.percentile_approx(
-                _inside(*at), F.array(*[F.lit(p) for p in shares]), F.lit(_SKETCH_ACCURACY))
-            for at, shares in asked.items()
-        })
+        picked = _sketched(df, asked, size)
         cuts = {}
         for key, s in state.items():
             at = (key[0], s["lo"], s["hi"])
@@ -177,10 +178,34 @@ def _order_statistics(
     return found
 
 
-def _shares(k: int, s: dict) -> tuple[float, float]:
+def _sketched(df: DataFrame, asked: Mapping[tuple, Sequence[float]], size: int) -> dict[tuple, list[float]]:
+    """Approximate quantiles inside each interval ``(column, lo, hi)``.
+
+    Sketches are merged in two steps, so no task merges those of all others.
+    """
+    names = {at: f"k{i}" for i, at in enumerate(asked)}
+    sketches = df.groupBy((F.spark_partition_id() % _MERGE_TASKS).alias("part")).agg(*[
+        F.kll_sketch_agg_double(_inside(*at), size).alias(name) for at, name in names.items()
+    ])
+    # An interval may have no row in some part; its empty sketch is left out.
+    row = sketches.agg(*[
+        F.kll_sketch_get_quantile_double(
+            F.kll_merge_agg_double(name, size), F.array(*[F.lit(p) for p in asked[at]])
+        ).alias(name) for at, name in names.items()
+    ]).first()
+    return {at: list(row[name]) for at, name in names.items()}
+
+
+def approximate_quantiles(df: DataFrame, column: str, shares: Sequence[float]) -> list[float]:
+    """Values near the wanted shares of a double column, for cutting it into even parts."""
+    at = (column, None, None)
+    return _sketched(df, {at: list(shares)}, _SKETCHES[-1][0])[at]
+
+
+def _shares(k: int, s: dict, grid: int) -> tuple[float, float]:
     """Two shares around a rank, on a grid so that neighbouring ranks ask for the same cuts."""
-    at = math.floor((k - s["below"] + 0.5) / s["inside"] * _SKETCH_ACCURACY)
-    return max(0, at - 2) / _SKETCH_ACCURACY, min(_SKETCH_ACCURACY, at + 3) / _SKETCH_ACCURACY
+    at = math.floor((k - s["below"] + 0.5) / s["inside"] * grid)
+    return max(0, at - 2) / grid, min(grid, at + 3) / grid
 
 
 def _ranked_value(c: str, share: float, lo: float, hi: float) -> Column:
