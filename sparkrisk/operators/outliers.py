@@ -173,7 +173,7 @@ def outliers_to_mean(
     """Replace outliers by the mean of the other present values of their column.
 
     ``stop_at_first_clean`` leaves all later columns alone once a column has no
-    outlier or no mean, as the exploratory notebook does.
+    outlier or no mean.
     """
     names = present(df, columns)
     found = limits(df, names)

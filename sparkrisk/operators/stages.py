@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Transformer
+from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 
-__all__ = ["FitFirst", "Learned", "Param", "TypeConverters", "keyword_only", "make_param", "Transformer"]
+__all__ = ["FitFirst", "Learned", "Param", "TypeConverters", "keyword_only", "make_param"]
 
 
 def make_param(name: str, doc: str, converter=TypeConverters.identity) -> Param:
