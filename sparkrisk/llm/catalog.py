@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from sparkrisk.llm import mixing, quality_rules, sharding
+from sparkrisk.llm import mixing, pieces, quality_classifier, quality_rules, sharding
 
 
 def _documents(spark, folder):
     return spark.read.parquet(f"{folder}/documents.parquet")
 
 
+def op1_ftrl_quality(spark, folder):
+    return quality_classifier.classify(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
+
+
 def op3_fair_queue_mix(spark, folder):
     return mixing.mix(_documents(spark, folder))
 
@@ -21,5 +25,13 @@ def op9_hash_tree_shards(spark, folder):
     return sharding.shard_rows(_documents(spark, folder))
 
 
-QUERIES = {f.__name__: f for f in (op3_fair_queue_mix, op5_host_rules, op9_hash_tree_shards)}
+def op10_backtracking_pieces(spark, folder, vocabulary="piece_bpe_32k.model"):
+    import public_tokenizers
+
+    return pieces.digest_table(_documents(spark, folder), public_tokenizers.path(vocabulary))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_ftrl_quality, op3_fair_queue_mix, op5_host_rules, op9_hash_tree_shards, op10_backtracking_pieces,
+)}
 SQL = {"op3_fair_queue_mix": mixing.SQL, "op5_host_rules": quality_rules.SQL}
