@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkrisk.llm import mixing, personal_data, pieces, quality_classifier, quality_rules, sharding
+from sparkrisk.llm import fingerprints, mixing, personal_data, pieces, quality_classifier, quality_rules, sharding
 
 
 def _documents(spark, folder):
@@ -13,6 +13,10 @@ def op1_ftrl_quality(spark, folder):
     return quality_classifier.classify(_documents(spark, folder), spark.read.parquet(f"{folder}/labels.parquet"))
 
 
+def op2_simhash_fingerprints(spark, folder):
+    return fingerprints.fingerprint_table(_documents(spark, folder))
+
+
 def op3_fair_queue_mix(spark, folder):
     return mixing.mix(_documents(spark, folder))
 
@@ -36,6 +40,6 @@ def op10_backtracking_pieces(spark, folder, vocabulary="piece_bpe_32k.model"):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ftrl_quality, op3_fair_queue_mix, op5_host_rules, op6_boosted_spans, op9_hash_tree_shards, op10_backtracking_pieces,
+    op1_ftrl_quality, op2_simhash_fingerprints, op3_fair_queue_mix, op5_host_rules, op6_boosted_spans, op9_hash_tree_shards, op10_backtracking_pieces,
 )}
 SQL = {"op3_fair_queue_mix": mixing.SQL, "op5_host_rules": quality_rules.SQL}
