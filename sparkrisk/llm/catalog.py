@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkrisk.llm import fingerprints, mixing, personal_data, pieces, quality_classifier, quality_rules, sharding
+from sparkrisk.llm import fingerprints, mixing, near_duplicates, personal_data, pieces, quality_classifier, quality_rules, sharding
 
 
 def _documents(spark, folder):
@@ -29,6 +29,10 @@ def op6_boosted_spans(spark, folder):
     return personal_data.detect(_documents(spark, folder))
 
 
+def op7_setsketch_near_duplicates(spark, folder):
+    return near_duplicates.near_duplicates(_documents(spark, folder), size=4)
+
+
 def op9_hash_tree_shards(spark, folder):
     return sharding.shard_rows(_documents(spark, folder))
 
@@ -40,6 +44,7 @@ def op10_backtracking_pieces(spark, folder, vocabulary="piece_bpe_32k.model"):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ftrl_quality, op2_simhash_fingerprints, op3_fair_queue_mix, op5_host_rules, op6_boosted_spans, op9_hash_tree_shards, op10_backtracking_pieces,
+    op1_ftrl_quality, op2_simhash_fingerprints, op3_fair_queue_mix, op5_host_rules, op6_boosted_spans,
+    op7_setsketch_near_duplicates, op9_hash_tree_shards, op10_backtracking_pieces,
 )}
 SQL = {"op3_fair_queue_mix": mixing.SQL, "op5_host_rules": quality_rules.SQL}

@@ -116,8 +116,10 @@ def grams(words: np.ndarray, n: int) -> np.ndarray:
             power, have = power * power, have * 2
 
 
-def map_texts(docs: DataFrame, columns: str, work: Callable[[Iterable[str | None]], Iterable[tuple]], rows: int = 500) -> DataFrame:
-    """doc_id and what ``work`` yields for each text, in Arrow batches of at most ``rows`` documents.
+def map_texts(
+    docs: DataFrame, columns: str, work: Callable[[Iterable[str | None]], Iterable[tuple]], keep: tuple[str, ...] = ("doc_id",), rows: int = 500,
+) -> DataFrame:
+    """The columns ``keep`` and what ``work`` yields for each text, in Arrow batches of at most ``rows`` documents.
 
     ``columns`` declares the yielded columns; a text is never cut.
     """
@@ -125,17 +127,18 @@ def map_texts(docs: DataFrame, columns: str, work: Callable[[Iterable[str | None
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    chosen = docs.select("doc_id", "text")
-    schema = StructType(chosen.schema.fields[:1] + StructType.fromDDL(columns).fields)
+    chosen = docs.select(*keep, "text")
+    k = len(keep)
+    schema = StructType(chosen.schema.fields[:k] + StructType.fromDDL(columns).fields)
     kinds = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, rows):
                 part = batch.slice(at, rows)
-                found = list(work(part.column(1).to_pylist()))
-                values = [part.column(0).cast(kinds.types[0])] + [
-                    pa.array([x[k] for x in found], kinds.types[k + 1]) for k in range(len(kinds) - 1)]
-                yield pa.RecordBatch.from_arrays(values, schema=kinds)
+                found = list(work(part.column(k).to_pylist()))
+                kept = [part.column(i).cast(kinds.types[i]) for i in range(k)]
+                made = [pa.array([x[i] for x in found], kinds.types[k + i]) for i in range(len(kinds) - k)]
+                yield pa.RecordBatch.from_arrays(kept + made, schema=kinds)
 
     return chosen.mapInArrow(run, schema)
