@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkrisk.llm import fingerprints, mixing, near_duplicates, personal_data, pieces, quality_classifier, quality_rules, sharding
+from sparkrisk.llm import fingerprints, mixing, near_duplicates, personal_data, pieces, quality_classifier, quality_rules, repeated_spans, sharding
 
 
 def _documents(spark, folder):
@@ -21,6 +21,10 @@ def op3_fair_queue_mix(spark, folder):
     return mixing.mix(_documents(spark, folder))
 
 
+def op4_debruijn_substrings(spark, folder):
+    return repeated_spans.remove_repeated(_documents(spark, folder))
+
+
 def op5_host_rules(spark, folder):
     return quality_rules.judge(_documents(spark, folder))
 
@@ -44,7 +48,7 @@ def op10_backtracking_pieces(spark, folder, vocabulary="piece_bpe_32k.model"):
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_ftrl_quality, op2_simhash_fingerprints, op3_fair_queue_mix, op5_host_rules, op6_boosted_spans,
+    op1_ftrl_quality, op2_simhash_fingerprints, op3_fair_queue_mix, op4_debruijn_substrings, op5_host_rules, op6_boosted_spans,
     op7_setsketch_near_duplicates, op9_hash_tree_shards, op10_backtracking_pieces,
 )}
 SQL = {"op3_fair_queue_mix": mixing.SQL, "op5_host_rules": quality_rules.SQL}
