@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from sparkrisk.llm import fingerprints, mixing, near_duplicates, personal_data, pieces, quality_classifier, quality_rules, repeated_spans, sharding
+from sparkrisk.llm import (
+    fingerprints, language_models, mixing, near_duplicates, personal_data, pieces, quality_classifier, quality_rules, repeated_spans,
+    sharding,
+)
 
 
 def _documents(spark, folder):
@@ -37,6 +40,12 @@ def op7_setsketch_near_duplicates(spark, folder):
     return near_duplicates.near_duplicates(_documents(spark, folder), size=4)
 
 
+def op8_cross_entropy_difference(spark, folder):
+    """Documents that labels call good are the target."""
+    good = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").select("doc_id")
+    return language_models.score(_documents(spark, folder), good)
+
+
 def op9_hash_tree_shards(spark, folder):
     return sharding.shard_rows(_documents(spark, folder))
 
@@ -49,6 +58,6 @@ def op10_backtracking_pieces(spark, folder, vocabulary="piece_bpe_32k.model"):
 
 QUERIES = {f.__name__: f for f in (
     op1_ftrl_quality, op2_simhash_fingerprints, op3_fair_queue_mix, op4_debruijn_substrings, op5_host_rules, op6_boosted_spans,
-    op7_setsketch_near_duplicates, op9_hash_tree_shards, op10_backtracking_pieces,
+    op7_setsketch_near_duplicates, op8_cross_entropy_difference, op9_hash_tree_shards, op10_backtracking_pieces,
 )}
 SQL = {"op3_fair_queue_mix": mixing.SQL, "op5_host_rules": quality_rules.SQL}
