@@ -42,8 +42,12 @@ def _bucket(finish: Column, steps: int) -> Column:
     return F.when(finish < 4, F.floor(finish * steps)).otherwise(4 * steps + F.floor(F.log2(finish) * 64))
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
-    """doc_id, size, source_size, target, taken of every row.
+def _key() -> Column:
+    return F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("missing"))
+
+
+def _queued(docs: DataFrame, weights: tuple[int, ...], repeats: int) -> DataFrame:
+    """doc_id, size, source_size, target, key and ``used``, the number of passes that take the row.
 
     Each document's finish time in pass e over its source is the source's words up to and including it,
     in shuffled order and with all earlier passes, divided by the source's target. All passes of all
@@ -51,13 +55,12 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPE
     sum of all sizes. The shuffle is the digest of doc_id; rows with one doc_id are taken together.
     Neither a source nor the whole order is in one task: running sums are formed over hash
     ranges within a source and over ranges of the finish time, then inside the one range that holds
-    the cut. Missing or empty texts have size 0 and are never taken; a missing source is a source;
-    an empty table gives none.
+    the cut.
     """
     spark = docs.sparkSession
     rows = docs.select(
         "doc_id", F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), "source",
-        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("missing")).alias("key"),
+        _key().alias("key"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("missing")).cast("binary")).alias("turn"),
     )
     rows = materialize(rows, "mix")
@@ -100,7 +103,27 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPE
             return (_bucket(f, steps) < cut["step"]) | (F.struct(f, F.col("key"), F.col("turn")) <= bound)
 
         taken = F.size(F.filter("finish", within))
-    return queued.select("doc_id", "size", "source_size", "target", (F.col("size") * taken).cast("long").alias("taken"))
+    return queued.select("doc_id", "size", "source_size", "target", "key", taken.alias("used"))
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
+    """doc_id, size, source_size, target, taken of every row.
+
+    size counts words, taken those that the mix takes, repeats included. Missing or empty texts have size 0 and are
+    never taken; a missing source is a source; rows with one doc_id are taken together; an empty table gives none.
+    """
+    return _queued(docs, weights, repeats).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("used")).cast("long").alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
+    """The rows, with all their columns, as often as the mix takes them; rows without words are never taken."""
+    uses = materialize(_queued(docs, weights, repeats).where("used > 0").select(
+        F.col("doc_id").alias("used_id"), F.col("key").alias("used_key"), "used").distinct(), "uses")
+    rows = docs.where(F.regexp_like(F.col("text"), F.lit(WORD))).select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), _key().alias("own_key"))
+    taken = rows.join(uses, F.col("own_id").eqNullSafe(F.col("used_id")) & (F.col("own_key") == F.col("used_key")))
+    return taken.select("row", F.explode(F.sequence(F.lit(1), "used"))).select("row.*")
 
 
 #: DuckDB: the same mix with one running sum for each source and one over all.
