@@ -30,7 +30,7 @@ def _sliding(a: np.ndarray, width: int, op) -> np.ndarray:
 
 
 def edges(words: np.ndarray, window: int = WINDOW, edge: int = EDGE) -> tuple[np.ndarray, np.ndarray]:
-    """Places and hashes of the k-mers that are the least of some window; equal windows hold equal ones at equal places."""
+    """Places and hashes of the k-mers that are the least of some window; equal windows share one, at the same place."""
     if len(words) < window:
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
     width = window - edge + 1
