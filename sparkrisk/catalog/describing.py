@@ -23,12 +23,19 @@ def box_stats(spark, folder):
     return rounded(describe.box_stats(events, ["value", "user_id", "event_type"]))
 
 
+def box_fliers(spark, folder):
+    lines = load(spark, folder, "lineitem").select("l_extendedprice", "l_quantity")
+    p = F.col("l_extendedprice") / 10000.0
+    return rounded(describe.box_fliers(lines.withColumn("l_extendedprice", p * p * p * p), ["l_extendedprice", "l_quantity"]))
+
+
 QUERIES = {
     "describe": lambda s, d: rounded(describe.describe(mixed(s, d), _COLUMNS)),
     "describe_filtered": lambda s, d: rounded(describe.describe(
         load(s, d, "orders"), ["o_totalprice"], where=F.col("o_totalprice") < 200000)),
     "histogram": histogram,
     "box_stats": box_stats,
+    "box_fliers": box_fliers,
     "category_histogram": lambda s, d: describe.category_histogram(mixed(s, d), ["flag", "status", "line"]),
     "correlation": correlation,
 }
@@ -55,8 +62,8 @@ def _histogram(column):
 def _box(column):
     v = f"CAST({column} AS DOUBLE)"
     return f"""SELECT '{column}' AS "column", ROUND(MAX(q1), 6) AS q1, ROUND(MAX(q2), 6) AS median, ROUND(MAX(q3), 6) AS q3,
-      ROUND(MIN(CASE WHEN {v} BETWEEN lo AND hi THEN {v} END), 6) AS whisker_low,
-      ROUND(MAX(CASE WHEN {v} BETWEEN lo AND hi THEN {v} END), 6) AS whisker_high,
+      ROUND(LEAST(MAX(q1), MIN(CASE WHEN {v} BETWEEN lo AND hi THEN {v} END)), 6) AS whisker_low,
+      ROUND(GREATEST(MAX(q3), MAX(CASE WHEN {v} BETWEEN lo AND hi THEN {v} END)), 6) AS whisker_high,
       COUNT(CASE WHEN {v} < lo OR {v} > hi THEN 1 END) AS fliers
       FROM events, (SELECT q1, q2, q3, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM
         (SELECT quantile_cont({v}, 0.25) AS q1, quantile_cont({v}, 0.5) AS q2, quantile_cont({v}, 0.75) AS q3 FROM events))"""
@@ -76,6 +83,12 @@ SQL = {
     "describe_filtered": _describe("o_totalprice", "orders", "o_totalprice < 200000"),
     "histogram": f"WITH {MIXED}, {_WIDE} " + " UNION ALL ".join(_histogram(c) for c in _ALL),
     "box_stats": " UNION ALL ".join(_box(c) for c in ("value", "user_id")),
+    "box_fliers": """WITH p AS (SELECT l_extendedprice / 10000.0::DOUBLE AS p, l_quantity FROM lineitem),
+      v AS (SELECT p * p * p * p AS price, CAST(l_quantity AS DOUBLE) AS quantity FROM p),
+      q AS (SELECT quantile_cont(price, 0.25) AS a, quantile_cont(price, 0.75) AS b,
+                   quantile_cont(quantity, 0.25) AS c, quantile_cont(quantity, 0.75) AS d FROM v)
+      SELECT 'l_extendedprice' AS "column", ROUND(price, 6) AS value FROM v, q WHERE price < a - 1.5 * (b - a) OR price > b + 1.5 * (b - a)
+      UNION ALL SELECT 'l_quantity', ROUND(quantity, 6) FROM v, q WHERE quantity < c - 1.5 * (d - c) OR quantity > d + 1.5 * (d - c)""",
     "category_histogram": f"WITH {MIXED} " + " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, COUNT(*) AS n FROM mixed WHERE {c} IS NOT NULL GROUP BY {c}"
         for c in ("flag", "status", "line")),

@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from sparkrisk.catalog import cleaning, encoding, evaluation, sampling
 from sparkrisk.catalog.encoding import SPEC as ENCODE_SPEC
-from sparkrisk.catalog.modelling import SPEC, _parts
-from sparkrisk.catalog.tables import MIXED, TIED, labelled, load, mixed, modelling, raw, rounded, tied_scores
+from sparkrisk.catalog.modelling import _PROBA, SPEC, fixed_model
+from sparkrisk.catalog.tables import LABELLED, MIXED, TIED, labelled, load, mixed, modelling, raw, rounded, tied_scores
 from sparkrisk.operators import clean, metrics, sample
 from sparkrisk.operators.encode import assemble
 from sparkrisk.plans import score, train
@@ -43,7 +43,8 @@ def metrics_json(spark, folder):
     path = scratch_path(spark, "metrics")
     files.write_json(metrics.metrics_document(metrics.evaluate(tied_scores(spark, folder))), path)
     read = spark.read.json(path)
-    return rounded(read.select("accuracy", "f1", "roc_auc", "average_precision", "confusion_matrix.*"))
+    return rounded(read.select(
+        "accuracy", "precision", "recall", "f1", "geometric_mean", "roc_auc", "average_precision", "confusion_matrix.*"))
 
 
 def results_document(spark, folder):
@@ -65,9 +66,8 @@ def save_load_preprocessor(spark, folder):
 
 def save_load_model(spark, folder):
     path = scratch_path(spark, "model")
-    fit_rows, test_rows = _parts(spark, folder)
-    train.train(fit_rows, "event_id", SPEC, sampler=None, evaluate=False, save_to=path)
-    return train.load_model(spark, path).transform(test_rows).select("event_id", "y_pred", "y_proba")
+    fixed_model().write().overwrite().save(path)
+    return rounded(train.load_model(spark, path).transform(labelled(spark, folder)).select("event_id", "y_pred", "y_proba"))
 
 
 def encoded_names(spark, folder):
@@ -90,18 +90,14 @@ def model_sweep(spark, folder):
 
 def score_job(spark, folder):
     path = scratch_path(spark, "scores")
-    fit_rows, test_rows = _parts(spark, folder)
-    fitted, _ = train.train(fit_rows, "event_id", SPEC, "decision_tree", sampler=None, evaluate=False)
-    score.score_job(fitted, test_rows, path, truth=SPEC.target)
-    return spark.read.parquet(f"{path}/predictions")
+    score.score_job(fixed_model(), labelled(spark, folder), path, truth="y")
+    return rounded(spark.read.parquet(f"{path}/predictions"))
 
 
 def score_without_truth(spark, folder):
     path = scratch_path(spark, "scores")
-    fit_rows, test_rows = _parts(spark, folder)
-    fitted, _ = train.train(fit_rows, "event_id", SPEC, "decision_tree", sampler=None, evaluate=False)
-    score.score_job(fitted, test_rows.drop(SPEC.target), path, proba=True)
-    return spark.read.parquet(f"{path}/predictions")
+    score.score_job(fixed_model(), labelled(spark, folder).drop("y"), path, proba=True)
+    return rounded(spark.read.parquet(f"{path}/predictions"))
 
 
 def cv_without_average_precision(spark, folder):
@@ -155,12 +151,17 @@ SQL = {
     "write_features": encoding.SQL["fit_train_apply_test"],
     "metrics_json": f"""WITH {TIED}, {evaluation._STEPS}, c AS (SELECT {evaluation._CELLS} FROM scored),
       m AS (SELECT *, {evaluation._EXACT} FROM c), r AS (SELECT {evaluation._AUC}, {evaluation._AP} FROM steps)
-      SELECT ROUND(accuracy, 6) AS accuracy, ROUND(f1, 6) AS f1, roc_auc, average_precision,
+      SELECT {evaluation._ROUNDED}, roc_auc, average_precision,
              true_negatives, false_positives, false_negatives, true_positives FROM m, r""",
     "results_document": f"""WITH s AS ({_SUMMARY}) SELECT 'logistic_regression' AS model,
       'Logistic Regression' AS model_display_name, CAST(5 AS BIGINT) AS cv_folds, CAST(42 AS BIGINT) AS random_seed,
       'BorderlineSMOTE' AS method, (SELECT test_mean FROM s WHERE metric = 'f1') AS f1_test_mean,
       (SELECT train_std FROM s WHERE metric = 'recall') AS recall_train_std""",
+    "save_load_model": f"""WITH {LABELLED} SELECT event_id, CASE WHEN {_PROBA} > 0.5 THEN 1 ELSE 0 END AS y_pred,
+      ROUND({_PROBA}, 6) AS y_proba FROM labelled""",
+    "score_job": f"""WITH {LABELLED} SELECT y AS y_true, CASE WHEN {_PROBA} > 0.5 THEN 1 ELSE 0 END AS y_pred,
+      ROUND({_PROBA}, 6) AS y_proba FROM labelled""",
+    "score_without_truth": f"WITH {LABELLED} SELECT ROUND({_PROBA}, 6) AS y_proba FROM labelled",
     "save_load_preprocessor": encoding.SQL["encode_all"],
     "feature_names": f"""WITH {MIXED}
       SELECT UNNEST(['quantity', 'price', 'line', 'tax']) AS name

@@ -145,8 +145,3 @@ def rule_filter_report(df: DataFrame, rules: Mapping[str, Sequence]) -> DataFram
         rows.alias("rows_before"), kept.alias("rows_left"), (rows - kept).alias("rows_removed"),
         F.round(100.0 * F.try_divide(rows - kept, rows), 2).alias("pct_removed"),
     )
-
-
-def non_missing(df: DataFrame) -> DataFrame:
-    """``(column, present)`` counts of a cleaned table."""
-    return stat_table(df, "column", {c: {"present": F.count(ident(c))} for c in df.columns})

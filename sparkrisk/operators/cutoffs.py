@@ -16,9 +16,11 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys that may be compared on the driver per wanted rank.
+# Keys that may be compared on the driver, per wanted rank and in all.
 _FINISH_PER_RANK = 2_000
+_FINISH_IN_ALL = 200_000
 _MAX_DIGITS_PER_ROUND = 4
+_KEY_DIGITS = 32
 STRATUM_LIMIT = 10_000
 
 
@@ -38,7 +40,9 @@ def keys_at_ranks(
     """Key at each 0-based rank of each stratum.
 
     ``df`` has the columns ``stratum`` and ``key`` (hexadecimal, evenly spread).
-    A rank equal to the size of its stratum yields a key above all others.
+    A rank equal to the size of its stratum yields a key above all others. Rows below the
+    key are as many as the rank only if no equal keys lie on both sides of it; if some do,
+    the key is not unique and no exact answer exists, which is an error.
     """
     found: dict[tuple[str, int], str] = {}
     pending: dict[tuple[str, int], tuple[str, int]] = {}
@@ -53,16 +57,19 @@ def keys_at_ranks(
         opened = sorted({(s, prefix) for (s, _), (prefix, _) in pending.items()})
         depth = len(opened[0][1])
         part = _open(df, opened, depth)
-        if rows_open <= _FINISH_PER_RANK * len(pending):
+        if rows_open <= min(_FINISH_PER_RANK * len(pending), _FINISH_IN_ALL):
             keys: dict[tuple[str, str], list[str]] = {}
             for r in part.select("stratum", "key").collect():
                 keys.setdefault((r["stratum"], r["key"][:depth]), []).append(r["key"])
             ordered = {at: sorted(v) for at, v in keys.items()}
             for (s, k), (prefix, inside) in pending.items():
-                found[s, k] = ordered[s, prefix][inside]
+                near = ordered[s, prefix]
+                if inside and near[inside - 1] == near[inside]:
+                    raise ValueError("the key is not unique")
+                found[s, k] = near[inside]
             return found
         step = 1
-        while step < _MAX_DIGITS_PER_ROUND and rows_open > (_FINISH_PER_RANK // 2) * len(opened) * 16 ** step:
+        while step < min(_MAX_DIGITS_PER_ROUND, _KEY_DIGITS - depth) and rows_open > (_FINISH_PER_RANK // 2) * len(opened) * 16 ** step:
             step += 1
         counts: dict[tuple[str, str], list[tuple[str, int]]] = {}
         counted = part.groupBy("stratum", F.substring("key", 1, depth + step).alias("prefix")).count()
@@ -78,6 +85,10 @@ def keys_at_ranks(
             at = bisect_right(ends, inside) - 1
             pending[s, k] = (prefixes[at], inside - ends[at])
             size_of[s, prefixes[at]] = ends[at + 1] - ends[at]
+        if depth + step >= _KEY_DIGITS:  # whole keys: those that remain together are equal
+            if any(inside for _, inside in pending.values()):
+                raise ValueError("the key is not unique")
+            return found | {at: prefix for at, (prefix, _) in pending.items()}
         rows_open = sum(size_of.values())
     return found
 

@@ -87,12 +87,24 @@ def box_stats(df: DataFrame, columns: Sequence[str] = OUTLIER_COLUMNS) -> DataFr
         inside = F.when(~outside(c, bounds), v)
         table[c] = {
             "q1": F.lit(q1), "median": F.lit(median), "q3": F.lit(q3),
-            "whisker_low": F.min(inside), "whisker_high": F.max(inside),
+            # Without a value between quartile and fence the whisker ends at the quartile.
+            "whisker_low": F.least(F.lit(q1), F.min(inside)), "whisker_high": F.greatest(F.lit(q3), F.max(inside)),
             "fliers": F.count_if(outside(c, bounds)),
         }
     return stats.stat_table(df, "column", table)
 
 
+def box_fliers(df: DataFrame, columns: Sequence[str] = OUTLIER_COLUMNS) -> DataFrame:
+    """``(column, value)`` of every value beyond the whiskers of :func:`box_stats`, repeats included."""
+    numeric = set(numeric_columns(df))
+    names = [c for c in present(df, columns) if c in numeric]
+    found = {c: s for c, s in stats.quantiles(df, names, (0.25, 0.75)).items() if s["count"]}
+    cells = [F.struct(F.lit(c).alias("column"), F.when(outside(c, fence(*s["q"])), _number(df, c)).alias("value")) for c, s in found.items()]
+    if not cells:
+        return df.sparkSession.createDataFrame([], "column string, value double")
+    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+
+
 def category_histogram(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(column, value, n)`` of present codes, all columns in one group-by."""
     cells = [

@@ -87,7 +87,7 @@ def learn_categories(df: DataFrame, columns: Sequence[str]) -> tuple[dict, dict]
     rows = counts.limit(len(columns) * CATEGORY_LIMIT + 1).collect()
     found: dict[str, list] = {}
     for r in rows:
-        found.setdefault(r["column"], []).append((r["num"] if r["txt"] is None else r["txt"], r["n"]))
+        found.setdefault(r["column"], []).append((stats.counted_value(r), r["n"]))
     large = sorted(c for c, v in found.items() if len(v) > CATEGORY_LIMIT)
     if large or len(rows) > len(columns) * CATEGORY_LIMIT:
         raise ValueError(f"more than {CATEGORY_LIMIT} categories in {large or list(columns)}")
@@ -101,7 +101,12 @@ class TableEncoderModel(Learned):
 
     def _cell(self, df: DataFrame, part: dict) -> Column:
         c, dtype = part["column"], column_type(df, part["column"])
-        value = ident(c) if isinstance(dtype, T.StringType) else to_number(ident(c), dtype)
+        if isinstance(dtype, T.StringType):
+            value = ident(c)
+        elif isinstance(dtype, T.IntegralType) and isinstance(part["mode"], int):
+            value = ident(c).cast("bigint")
+        else:
+            value = to_number(ident(c), dtype)
         return F.coalesce(value, F.lit(part["mode"]))
 
     def _numeric(self, df: DataFrame) -> list[Column]:

@@ -19,7 +19,6 @@ from sparkrisk.operators.stats import collect_stats
 from sparkrisk.spec import SEED
 
 LINEAR_BACKGROUND = 500
-TREE_SAMPLE = 300
 
 
 def background_means(

@@ -15,9 +15,9 @@ from sparkrisk.spec import RULES
 
 
 def fill_value(df: DataFrame, column: str, value) -> Column:
-    """Learned scalar as a literal; an integral number keeps the column's type."""
+    """Learned value as a literal; a whole number keeps the column's type."""
     dtype = column_type(df, column)
-    if isinstance(value, float) and value.is_integer():
+    if isinstance(value, int) or isinstance(value, float) and value.is_integer():
         return F.lit(value).cast(dtype)
     return F.lit(value)
 
@@ -83,7 +83,10 @@ class IllegalToModeModel(Learned):
 
 
 class MissingFill(FitFirst):
-    """Learn medians for ``median`` columns and modes for ``mode`` columns."""
+    """Learn medians for ``median`` columns and modes for ``mode`` columns.
+
+    Columns filled with their median become doubles, whatever the median is.
+    """
 
     median = make_param("median", "columns filled with the median", TypeConverters.toListString)
     mode = make_param("mode", "columns filled with the mode", TypeConverters.toListString)
@@ -96,8 +99,9 @@ class MissingFill(FitFirst):
     def _fit(self, df: DataFrame) -> MissingFillModel:
         medians = stats.quantiles(df, self.getOrDefault("median"), [0.5])
         fills: dict = {c: s["q"][0] for c, s in medians.items() if s["q"][0] is not None}
+        medians = list(fills)
         fills.update(stats.modes(df, self.getOrDefault("mode")))
-        return MissingFillModel({"fills": fills})
+        return MissingFillModel({"fills": fills, "medians": [c for c in medians if c not in self.getOrDefault("mode")]})
 
 
 class MissingFillModel(Learned):
@@ -106,7 +110,11 @@ class MissingFillModel(Learned):
         return self.learned["fills"]
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return df.withColumns({
-            c: F.coalesce(_missing_as_null(df, c), fill_value(df, c, self.fills[c]))
-            for c in present(df, self.fills)
-        })
+        medians = set(self.learned.get("medians", ()))
+
+        def filled(c: str) -> Column:
+            if c in medians:
+                return F.coalesce(_missing_as_null(df, c).cast("double"), F.lit(float(self.fills[c])))
+            return F.coalesce(_missing_as_null(df, c), fill_value(df, c, self.fills[c]))
+
+        return df.withColumns({c: filled(c) for c in present(df, self.fills)})

@@ -76,10 +76,6 @@ def split_report(df: DataFrame, target: str = TARGET, split: str = "split") -> D
     )
 
 
-def class_shares(df: DataFrame, target: str = TARGET) -> DataFrame:
-    return value_shares(df, target)
-
-
 def union_parts(train: DataFrame, test: DataFrame) -> DataFrame:
     """Rows of both parts, duplicates kept, columns matched by name."""
     return train.unionByName(test)

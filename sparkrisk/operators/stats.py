@@ -228,23 +228,35 @@ def _inside(c: str, lo: float | None, hi: float | None) -> Column:
 
 
 def value_counts_long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(column, num, txt, n)``: rows per present value of every column, text or number."""
+    """``(column, whole, num, txt, n)``: rows per present value of every column.
+
+    A value stands in the field of its kind, so that integers of 64 bits stay apart where
+    doubles would merge them.
+    """
     cells = []
     for c in columns:
-        if isinstance(column_type(df, c), T.StringType):
-            cells.append(F.struct(F.lit(c).alias("column"), F.lit(None).cast("double").alias("num"),
-                                  ident(c).alias("txt")))
+        kind = column_type(df, c)
+        if isinstance(kind, T.StringType):
+            value = {"txt": ident(c)}
+        elif isinstance(kind, T.IntegralType):
+            value = {"whole": ident(c).cast("bigint")}
         else:
-            cells.append(F.struct(F.lit(c).alias("column"),
-                                  to_number(ident(c), column_type(df, c)).alias("num"),
-                                  F.lit(None).cast("string").alias("txt")))
+            value = {"num": to_number(ident(c), kind)}
+        cells.append(F.struct(F.lit(c).alias("column"), *[
+            value.get(name, F.lit(None).cast(kind)).alias(name)
+            for name, kind in (("whole", "bigint"), ("num", "double"), ("txt", "string"))]))
     long = df.select(F.inline(F.array(*cells)))
     return (
-        long.where(F.col("num").isNotNull() | F.col("txt").isNotNull())
-        .groupBy("column", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
+        long.where("whole IS NOT NULL OR num IS NOT NULL OR txt IS NOT NULL")
+        .groupBy("column", "whole", "num", "txt").agg(F.count(F.lit(1)).alias("n"))
     )
 
 
+def counted_value(row):
+    """The value of a row of :func:`value_counts_long`, in its own kind."""
+    return next((row[k] for k in ("txt", "whole", "num") if row[k] is not None), None)
+
+
 def modes(df: DataFrame, columns: Sequence[str]) -> dict:
     """Most frequent present value per column, the smallest one on ties.
 
@@ -254,10 +266,10 @@ def modes(df: DataFrame, columns: Sequence[str]) -> dict:
         return {}
     top = (
         value_counts_long(df, columns).groupBy("column")
-        .agg(F.min(F.struct((-F.col("n")).alias("n"), "num", "txt")).alias("best"))
+        .agg(F.min(F.struct((-F.col("n")).alias("n"), "whole", "num", "txt")).alias("best"))
         .collect()
     )
-    return {r["column"]: r["best"]["num"] if r["best"]["txt"] is None else r["best"]["txt"] for r in top}
+    return {r["column"]: counted_value(r["best"]) for r in top}
 
 
 def legal_modes(df: DataFrame, rules: Mapping[str, Sequence]) -> dict:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from sparkrisk.functions import ident
 from sparkrisk.operators.clean import clean
 from sparkrisk.operators.sample import holdout_split
-from sparkrisk.session import materialize
 from sparkrisk.sources.files import read_delimited, write_split_table, write_table
 from sparkrisk.spec import MIXED, SEED, TARGET, TEST_SHARE
 
@@ -15,9 +15,14 @@ ROW_ID = "row_id"
 
 
 def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
-    """Numbers the rows and stores the table, so that the numbers stay the same when
-    a later job or a repeated task reads them. Numbers are unique, not consecutive."""
-    return materialize(df.withColumn(name, F.monotonically_increasing_id()), "keyed")
+    """Adds a unique text key: the digest of the row and a running number among equal rows.
+
+    It depends on the rows alone, not on files, partitions or the order of reading.
+    """
+    cells = F.to_json(F.struct(*[ident(c).cast("string").alias(f"c{k}") for k, c in enumerate(df.columns)]))
+    digest = df.withColumn(name, F.md5(cells.cast("binary")))
+    equal = Window.partitionBy(name).orderBy(name)
+    return digest.withColumn(name, F.concat_ws("-", name, F.row_number().over(equal).cast("string")))
 
 
 def load_and_prepare(
@@ -34,7 +39,7 @@ def load_and_prepare(
 ) -> DataFrame:
     """Cleaned rows with a key, and with ``split`` unless ``combined``.
 
-    ``key`` names a unique column of the file, kept as text; without one rows are numbered. With
+    ``key`` names a unique column of the file, kept as text; without one rows get the key of :func:`with_row_id`. With
     ``save_to`` the cleaned table goes to ``<save_to>/clean`` and the split table to
     ``<save_to>/split``, one folder per part.
     """

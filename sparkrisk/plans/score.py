@@ -24,29 +24,32 @@ def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored
 
 
-def batch_predict(
-    model: PipelineModel, df: DataFrame, batch_rows: int | None = None, proba: bool = False
-) -> DataFrame:
-    """Scores partition by partition, which are the batches; same result as :func:`predict`.
-
-    ``batch_rows`` sets how many rows at a time go through Python for models that
-    need it, for the whole session.
-    """
-    if batch_rows is not None:
-        df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+def batch_predict(model: PipelineModel, df: DataFrame, proba: bool = False) -> DataFrame:
+    """Scores partition by partition, which are the batches; same result as :func:`predict`."""
     return predict_proba(model, df) if proba else predict(model, df)
 
 
 def predict_and_evaluate(
     model: PipelineModel, df: DataFrame, truth: str, save_to: str | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """``(scored rows, one-row metrics)``; the scored rows are computed once and kept."""
-    scored = predict(model, df).persist(StorageLevel.MEMORY_AND_DISK)
+    """``(scored rows, one-row metrics)``.
+
+    The metrics are those of the written predictions; without ``save_to`` the three prediction
+    columns are kept while they are computed.
+    """
+    scored = predict(model, df)
     table = predictions_table(scored, truth)
-    result = metrics.evaluate(table, score="y_proba" if "y_proba" in table.columns else None)
+    score = "y_proba" if "y_proba" in table.columns else None
     if save_to:
         write_table(table, save_to)
-    return scored, result
+        return scored, metrics.evaluate(df.sparkSession.read.schema(table.schema).parquet(save_to), score=score)
+    table.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        result = metrics.evaluate(table, score=score)
+        row = df.sparkSession.createDataFrame([result.first()], result.schema)  # one row
+    finally:
+        table.unpersist()
+    return scored, row
 
 
 def score_job(
@@ -61,9 +64,8 @@ def score_job(
         wanted = {"prediction": None} if proba else {"probability": None}
         write_table(predictions_table(scored, None, **wanted), f"{output}/predictions")
         return None
-    scored, result = predict_and_evaluate(model, df, truth, f"{output}/predictions")
+    _, result = predict_and_evaluate(model, df, truth, f"{output}/predictions")
     write_json(metrics.metrics_document(result), f"{output}/metrics")
-    scored.unpersist()
     return df.sparkSession.read.json(f"{output}/metrics")
 
 

@@ -22,18 +22,17 @@ from sparkrisk.spec import (
     BORDERLINE_NEIGHBOURS, CV_FOLDS, CV_REPEATS, DEFAULT_SPEC, METRICS, SEED, SMOTE_NEIGHBOURS, FeatureSpec,
 )
 
-# The settings stored next to the results.
-RESULT_CONFIG = {
-    "cv_folds": CV_FOLDS,
-    "cv_repeats": CV_REPEATS,
-    "random_seed": SEED,
-    "smote_config": {
-        "method": "BorderlineSMOTE",
-        "random_state": SEED,
-        "k_neighbors": SMOTE_NEIGHBOURS,
-        "m_neighbors": BORDERLINE_NEIGHBOURS,
-    },
-}
+def result_config(
+    folds: int = CV_FOLDS, repeats: int = CV_REPEATS, sampler: str | Callable | None = "BorderlineSMOTE", seed: int = SEED,
+) -> dict:
+    """The settings stored next to the results; without a sampler there is no ``smote_config``."""
+    config: dict = {"cv_folds": folds, "cv_repeats": repeats, "random_seed": seed}
+    if sampler is not None:
+        own = sampler if isinstance(sampler, str) else getattr(sampler, "__name__", type(sampler).__name__)
+        config["smote_config"] = {"method": own, "random_state": seed, "k_neighbors": SMOTE_NEIGHBOURS}
+        if own == "BorderlineSMOTE":
+            config["smote_config"]["m_neighbors"] = BORDERLINE_NEIGHBOURS
+    return config
 
 
 class TrainingPipeline(Estimator):
@@ -171,6 +170,10 @@ def load_model(spark, path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def save_results(summary: DataFrame, model: str, path: str) -> None:
-    """Cross-validation result document as JSON."""
-    write_json(results_document(summary, model, model_entry(model).display_name, RESULT_CONFIG), path)
+def save_results(
+    summary: DataFrame, model: str, path: str, folds: int = CV_FOLDS, repeats: int = CV_REPEATS,
+    sampler: str | Callable | None = "BorderlineSMOTE", seed: int = SEED,
+) -> None:
+    """Cross-validation result document as JSON; the settings are those that the summary was made with."""
+    config = result_config(folds, repeats, sampler, seed)
+    write_json(results_document(summary, model, model_entry(model).display_name, config), path)

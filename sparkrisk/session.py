@@ -25,11 +25,17 @@ def build_session(app: str = "sparkrisk", cores: str | int = "*", partitions: in
     )
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process, and so share the local disk."""
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) is a fresh
-    temporary folder used, and it is registered as the checkpoint folder.
+    Only where the setting is absent and Spark runs in one local process is a fresh temporary
+    folder used, and it is registered as the checkpoint folder. On a cluster a missing setting
+    is an error: executors would write to disks that the others cannot read.
     """
     setting = "spark.checkpoint.dir"
     configured = spark.conf.get(setting, None) or spark.sparkContext.getConf().get(setting, None)
@@ -37,6 +43,8 @@ def scratch_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not is_local(spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sparkrisk-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")
