@@ -11,8 +11,9 @@ from sparkrisk.functions import as_text, column_type, ident, is_dirty, is_legal,
 from sparkrisk.operators.stats import stat_table
 from sparkrisk.spec import MIXED, TARGET
 
-# Longest token list that is put into the plan as literals.
-TOKEN_LIMIT = 5_000
+# A token table is broadcast up to this size, which is measured first; beyond it rows are salted.
+BROADCAST_BYTES = 32 << 20
+SALTS = 32
 
 
 def coerce_numeric(df: DataFrame, exclude: Iterable[str] = (MIXED,)) -> DataFrame:
@@ -28,16 +29,12 @@ def replace_tokens(
 ) -> DataFrame:
     """Cells equal to one of the tokens become NULL.
 
-    ``tokens`` is a list, or a table with a ``value`` column. A table of at most
-    ``TOKEN_LIMIT`` tokens turns into a literal list, so no join is needed; a
-    longer one is joined, column by column.
+    ``tokens`` is a list, which enters the plan as literals, or a table of any length with a
+    ``value`` column, which is joined, column by column.
     """
     names = list(df.columns if columns is None else columns)
     if isinstance(tokens, DataFrame):
-        head = tokens.select("value").distinct().limit(TOKEN_LIMIT + 1).collect()
-        if len(head) > TOKEN_LIMIT:
-            return _replace_by_join(df, tokens, names)
-        tokens = [r["value"] for r in head]
+        return _replace_by_join(df, tokens, names)
     listed = list(tokens)
     if not listed:
         return df
@@ -47,14 +44,20 @@ def replace_tokens(
 
 
 def _replace_by_join(df: DataFrame, tokens: DataFrame, names: Sequence[str]) -> DataFrame:
-    known = tokens.select(F.col("value").alias("__token")).distinct()
+    """A frequent text, or the missing cell, may fill most of a column: without a broadcast the rows
+    of a text are dealt over ``SALTS`` parts, to each of which the tokens are copied."""
+    known = tokens.select(F.col("value").alias("__hit")).where(F.col("value").isNotNull()).distinct()
+    size = known.agg(F.coalesce(F.sum(F.octet_length("__hit") + 16), F.lit(0))).first()[0]
+    if size <= BROADCAST_BYTES:
+        hits, salt = F.broadcast(known), F.lit(0)
+    else:
+        hits, salt = known.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))), (F.rand(3) * SALTS).cast("int")
     out = df
     for c in names:
-        hit = known.select(F.col("__token").alias("__hit"))
-        out = (
-            out.join(hit, as_text(ident(c), column_type(df, c)) == F.col("__hit"), "left")
-            .withColumn(c, F.when(F.col("__hit").isNull(), ident(c))).drop("__hit")
-        )
+        same = as_text(ident(c), column_type(df, c)) == F.col("__hit")
+        if size > BROADCAST_BYTES:
+            out, same = out.withColumn("__salt", salt), same & (F.col("__salt") == F.col("__part"))
+        out = out.join(hits, same, "left").withColumn(c, F.when(F.col("__hit").isNull(), ident(c))).drop("__hit", "__part", "__salt")
     return out
 
 

@@ -67,12 +67,15 @@ def quantiles(
     df: DataFrame,
     columns: Sequence[str],
     probs: Sequence[float],
-    direct_limit: int = DIRECT_LIMIT,
+    direct_limit: int | None = None,
 ) -> dict[str, dict]:
     """Exact, linearly interpolated quantiles with count, min and max per column.
 
-    Missing cells are ignored. Returns ``{column: {"count", "min", "max", "q"}}``.
+    Missing cells are ignored. Returns ``{column: {"count", "min", "max", "q"}}``. A column of at most
+    ``direct_limit`` values (``DIRECT_LIMIT`` by default) is read by one aggregate, a longer one is narrowed
+    first; both are exact.
     """
+    direct_limit = DIRECT_LIMIT if direct_limit is None else direct_limit
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}

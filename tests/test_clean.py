@@ -4,7 +4,6 @@ from pyspark.sql import functions as F
 from conftest import column
 from sparkrisk.functions import to_number
 from sparkrisk.operators import clean, profile
-from sparkrisk.operators.clean import TOKEN_LIMIT
 
 
 @pytest.fixture(scope="module")
@@ -58,11 +57,13 @@ def test_tally_tokens_and_report(dirty):
         "rows_before": 5, "rows_removed": 1, "rows_left": 4, "dirty_cells": 2, "columns_left": 3}
 
 
-def test_replace_tokens_from_list_table_and_long_table(spark, dirty):
+def test_replace_tokens_from_list_table_and_long_table(spark, dirty, monkeypatch):
     expected = clean.replace_tokens(dirty, ["invalid", "error"]).collect()
     tokens = spark.createDataFrame([("invalid",), ("error",)], "value string")
     assert clean.replace_tokens(dirty, tokens).collect() == expected
-    many = tokens.union(spark.range(TOKEN_LIMIT + 5).select(F.concat(F.lit("t"), "id")))
+    many = tokens.union(spark.range(6000).select(F.concat(F.lit("t"), "id")))
+    assert sorted(clean.replace_tokens(dirty, many).collect(), key=str) == sorted(expected, key=str)
+    monkeypatch.setattr(clean, "BROADCAST_BYTES", 0)
     assert sorted(clean.replace_tokens(dirty, many).collect(), key=str) == sorted(expected, key=str)
 
 
