@@ -76,14 +76,11 @@ def host_verdicts(rows: DataFrame, worst: float = WORST_RATE) -> DataFrame:
     k = mean (1 - mean) / variance - 1, at least 2 and at most a million.
     """
     hosts = rows.groupBy("host").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base_failed").cast("long")).alias("f"))
-    mean = F.col("all_f") / F.col("all_n")
-    whole = hosts.agg(F.sum("n").alias("all_n"), F.sum("f").alias("all_f"), F.sum(F.col("f") * F.col("f") / F.col("n")).alias("squares"))
-    variance = F.col("squares") / F.col("all_n") - mean * mean
-    prior = whole.select(mean.alias("mean"), F.when(
-        variance > 1e-12, F.greatest(F.lit(2.0), F.least(F.lit(1e6), mean * (1 - mean) / variance - 1))).otherwise(F.lit(1e6)).alias("k"))
-    # The prior is a single row.
-    return hosts.join(F.broadcast(prior)).select(
-        "host", ((F.col("f") + F.col("mean") * F.col("k")) / (F.col("n") + F.col("k")) <= worst).alias("host_kept"))
+    n, f, squares = hosts.agg(F.sum("n"), F.sum("f"), F.sum(F.col("f") * F.col("f") / F.col("n"))).first()
+    mean = f / n if n else 0.0
+    variance = squares / n - mean * mean if n else 0.0
+    k = max(2.0, min(1e6, mean * (1 - mean) / variance - 1)) if variance > 1e-12 else 1e6
+    return hosts.select("host", ((F.col("f") + F.lit(mean * k)) / (F.col("n") + F.lit(k)) <= worst).alias("host_kept"))
 
 
 def _host() -> Column:
