@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+from small_corpus import corpus, empty_folder, folder  # noqa: F401
 from test_queries import plain_components, plain_spans, rows_of
 
 import corpus_pipeline

@@ -11,6 +11,7 @@ import duckdb
 import pytest
 
 from compare import canonical
+from small_corpus import corpus, empty_folder, folder  # noqa: F401
 from sparkrisk.llm import catalog, personal_data
 
 
