@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -122,35 +124,55 @@ def correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     A constant column has no correlation, not even with itself.
     """
     names = numeric_columns(df) if columns is None else list(columns)
+    if not names:
+        return df.sparkSession.createDataFrame([], "x string, y string, r double")
     values = {c: _number(df, c) for c in names}
-    first: dict[str, Column] = {"rows": F.count(F.lit(1))}
-    for c, v in values.items():
-        first[f"m|{c}"], first[f"n|{c}"] = F.avg(v), F.count(v)
-    seen = stats.collect_stats(df, first)
-    # Sums of products around the column means. Columns without missing values share
-    # their sums over all pairs; equal aggregates are computed once.
-    centred = {c: v - F.lit(seen[f"m|{c}"] or 0.0) for c, v in values.items()}
-    full = {c for c in names if seen[f"n|{c}"] == seen["rows"]}
-    flat, rows = [], []
-    for i, a in enumerate(names):
-        for b in names[i:]:
-            both = centred[a].isNotNull() & centred[b].isNotNull()
-            x = centred[a] if b in full else F.when(both, centred[a])
-            y = centred[b] if a in full else F.when(both, centred[b])
-            n = F.count(F.lit(1)) if {a, b} <= full else F.count_if(both)
-            k = len(rows)
-            flat.append(_pearson(n, x, y).alias(f"r{k}"))
-            cell = F.when(F.abs(F.col(f"r{k}")) > 1, F.signum(f"r{k}")).otherwise(F.col(f"r{k}"))
-            rows.append(F.array(*[
-                F.struct(F.lit(p).alias("x"), F.lit(q).alias("y"), cell.alias("r")) for p, q in {(a, b), (b, a)}
-            ]))
-    return df.agg(*flat).select(F.inline(F.flatten(F.array(*rows))))
-
-
-def _pearson(n: Column, x: Column, y: Column) -> Column:
-    sx, sy = F.sum(x), F.sum(y)
-    xx = F.sum(x * x) - F.try_divide(sx * sx, n)
-    yy = F.sum(y * y) - F.try_divide(sy * sy, n)
-    xy = F.sum(x * y) - F.try_divide(sx * sy, n)
-    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
-    return F.when(~constant & (xx > 0) & (yy > 0), xy / F.sqrt(xx * yy))
+    means = stats.collect_stats(df, {c: F.avg(v) for c, v in values.items()})
+    # Sums are taken around the means, so that large offsets do not swallow small variances.
+    centred = df.select(*[(v - F.lit(means[c] or 0.0)).alias(f"v{k}") for k, (c, v) in enumerate(values.items())])
+    sums = centred.mapInPandas(_pair_sums, _PAIR_SUMS).groupBy("i", "j").agg(
+        *[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")],
+        *[F.min(c).alias(c) for c in ("x_low", "y_low")], *[F.max(c).alias(c) for c in ("x_high", "y_high")])
+    xx = F.col("sxx") - F.try_divide(F.col("sx") * F.col("sx"), F.col("n"))
+    yy = F.col("syy") - F.try_divide(F.col("sy") * F.col("sy"), F.col("n"))
+    xy = F.col("sxy") - F.try_divide(F.col("sx") * F.col("sy"), F.col("n"))
+    varies = (F.col("x_low") < F.col("x_high")) & (F.col("y_low") < F.col("y_high")) & (xx > 0) & (yy > 0)
+    r = F.when(varies, xy / F.sqrt(xx * yy))
+    name = F.array(*[F.lit(c) for c in names])
+    found = sums.select(
+        F.get(name, F.col("i")).alias("x"), F.get(name, F.col("j")).alias("y"), F.when(F.abs(r) > 1, F.signum(r)).otherwise(r).alias("r"))
+    return found
+
+
+_PAIR_SUMS = ("i int, j int, n long, sx double, sy double, sxx double, syy double, sxy double, "
+              "x_low double, y_low double, x_high double, y_high double")
+
+
+def _pair_sums(batches):
+    """Sums over a partition for every ordered pair of columns, of the rows that have both."""
+    total = None
+    for frame in batches:
+        raw = frame.to_numpy(dtype=float, na_value=np.nan)
+        for at in range(0, len(raw), 4096):
+            part = raw[at:at + 4096]
+            there = ~np.isnan(part)
+            x, m = np.where(there, part, 0.0), there.astype(float)
+            k = x.shape[1]
+            low, high = np.empty((k, k)), np.empty((k, k))
+            low[:] = np.where(there, part, np.inf).min(0)[:, None]
+            high[:] = np.where(there, part, -np.inf).max(0)[:, None]
+            for j in np.flatnonzero(~there.all(0)):  # columns with gaps narrow the others' rows
+                rows = there[:, j]
+                low[:, j] = np.where(there[rows], part[rows], np.inf).min(0, initial=np.inf)
+                high[:, j] = np.where(there[rows], part[rows], -np.inf).max(0, initial=-np.inf)
+            own = [m.T @ m, x.T @ m, (x * x).T @ m, x.T @ x]
+            if total is None:
+                total = [*own, low, high]
+            else:
+                total = [a + b for a, b in zip(total, own)] + [np.minimum(total[4], low), np.maximum(total[5], high)]
+    if total is not None:
+        n, sx, sxx, sxy, low, high = total
+        i, j = (a.ravel() for a in np.indices(n.shape))
+        yield pd.DataFrame({
+            "i": i, "j": j, "n": n.ravel().astype(np.int64), "sx": sx.ravel(), "sy": sx.T.ravel(), "sxx": sxx.ravel(), "syy": sxx.T.ravel(),
+            "sxy": sxy.ravel(), "x_low": low.ravel(), "y_low": low.T.ravel(), "x_high": high.ravel(), "y_high": high.T.ravel()})

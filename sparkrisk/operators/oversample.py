@@ -18,6 +18,9 @@ from sparkrisk.operators.neighbours import nearest, vector
 from sparkrisk.session import materialize
 from sparkrisk.spec import BORDERLINE_NEIGHBOURS, SEED, SMOTE_NEIGHBOURS
 
+# Copies of one row that one task makes at a time.
+CHUNK = 10_000
+
 Resampler = Callable[[DataFrame, Sequence[str], str, str], DataFrame]
 
 
@@ -39,9 +42,14 @@ def _synthesise(starts: DataFrame, seeds: DataFrame, need: int, seed: int, n_see
             starts.select(F.lit("all").alias("stratum"), ranked.alias("key")), {"all": n_seeds}, {"all": [extra]}
         )["all", extra]
         copies = copies + F.when(ranked < cut, 1).otherwise(0)
-    many = seeds.withColumn("copies", copies).where(F.col("copies") > 0).select(
-        "key", "vec", "neighbours", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
-    )
+    chunks = seeds.withColumn("copies", copies).where(F.col("copies") > 0).select(
+        "key", "vec", "neighbours", "copies",
+        F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / CHUNK))).alias("chunk"))
+    if each >= CHUNK:  # few rows start many copies: deal them out
+        chunks = chunks.repartition("key", "chunk")
+    first = F.col("chunk") * CHUNK + 1
+    many = chunks.select("key", "vec", "neighbours", F.explode(F.sequence(
+        first, F.least(first + (CHUNK - 1), F.col("copies").cast("bigint")))).alias("copy")).withColumn("copy", F.col("copy").cast("int"))
     drawn = many.withColumn("digest", order_key(seed, F.col("key"), F.col("copy"))).withColumn(
         "other",
         F.get("neighbours", F.floor(uniform(F.col("digest")) * F.size("neighbours")).cast("int"))["vec"],

@@ -86,7 +86,12 @@ def fold_scores(
         fitted = pipeline.fit(labelled.where(~held_out).drop(*sides))
         scored = fitted.transform(labelled.withColumn("side", F.when(held_out, "test").otherwise("train")))
         scored = scored.select("side", ident(target).alias("y_true"), "y_pred", "y_score")
-        rows = metrics.evaluate(scored, score="y_score", by=["side"], extra=scorers).collect()
+        # The evaluation reads its four columns several times; the model runs once.
+        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = metrics.evaluate(scored, score="y_score", by=["side"], extra=scorers).collect()
+        finally:
+            scored.unpersist()
         return [{"repeat": r, "fold": f, **row.asDict()} for row in rows]
 
     points = [(r, f) for r in range(repeats) for f in range(folds)]

@@ -92,3 +92,29 @@ def test_the_results_document_states_the_settings():
     assert result_config(4, 2, None, 7) == {"cv_folds": 4, "cv_repeats": 2, "random_seed": 7}
     assert result_config(sampler="SMOTE")["smote_config"]["method"] == "SMOTE"
     assert "m_neighbors" in result_config()["smote_config"]
+
+
+def test_many_copies_of_few_rows_are_made_in_chunks(spark, monkeypatch):
+    from sparkrisk.operators import oversample
+
+    monkeypatch.setattr(oversample, "CHUNK", 100)
+    rows = [(k, 0, float(k), 0.0) for k in range(3000)] + [(10_000 + k, 1, 5.0 + k, 1.0) for k in range(7)]
+    df = spark.createDataFrame(rows, "id long, y int, a double, b double")
+    made = oversample.smote(df, ["a", "b"], "y", "id", k=3).where("copy > 0")
+    per_row = {r["id"]: (r["count"], r["most"]) for r in made.groupBy("id").agg({"*": "count", "copy": "max"}).toDF("id", "count", "most").collect()}
+    assert sum(n for n, _ in per_row.values()) == 2993 and all(n == most for n, most in per_row.values())
+
+
+def test_correlation_of_many_columns(spark):
+    import numpy as np
+    import pandas as pd
+
+    r = np.random.default_rng(1)
+    x = pd.DataFrame(r.normal(size=(300, 60)) + 1e6, columns=[f"c{k}" for k in range(60)])
+    x["c1"] = x["c0"] * 2 + r.normal(size=300)
+    x = x.mask(r.random(x.shape) < 0.1)
+    x["same"] = 3.0
+    want = x.corr()
+    got = {(q["x"], q["y"]): q["r"] for q in describe.correlation(spark.createDataFrame(x)).collect()}
+    assert len(got) == 61 * 61 and got["same", "c1"] is None and got["same", "same"] is None
+    assert all(abs(got[a, b] - want.loc[a, b]) < 1e-6 for a in want for b in want if "same" not in (a, b))
