@@ -23,8 +23,8 @@ ROWS = 4
 BASE, RATE, LARGEST = 1.001, 20.0, 65_535
 #: A pair goes no further if its most likely similarity is this much below the wanted one (over five deviations).
 MARGIN = 0.2
-#: As much for the first, coarse test on one bit of each register.
-MOST_UNEQUAL_BITS = 34
+#: Bits of a parity sketch, in longs of 64.
+PARITY_LONGS = 16
 _rng = np.random.default_rng(20240611)
 _FACTORS = _rng.integers(1, 1 << 62, REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SHIFTS = _rng.integers(0, 1 << 62, REGISTERS, dtype=np.uint64)
@@ -69,9 +69,18 @@ def similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray) ->
     return (low + high) / 2
 
 
+def parities(s: np.ndarray) -> list[int]:
+    """Bits that say for each value of a short hash whether an odd number of elements has it.
+
+    The parities of two sets differ in at most as many bits as elements lie in one set only.
+    """
+    odd = np.bincount((s & np.uint64(64 * PARITY_LONGS - 1)).astype(np.int64), minlength=64 * PARITY_LONGS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
 def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """The other columns of every row and n, cls, sketch, low, high of its text: size of the shingle set, a hash of the set, its registers, and one bit
-    of each register. cls and what follows are missing for an empty set."""
+    """The other columns of every row and n, cls, sketch, odd of its text: size of the shingle set, a hash of the set, its
+    registers and its parities. cls and what follows are missing for an empty set."""
 
     def work(texts):
         block: list[np.ndarray] = []
@@ -81,12 +90,11 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
             rows = iter(registers(full)) if full else iter(())
             for s in block:
                 if not len(s):
-                    yield 0, None, None, None, None
+                    yield 0, None, None, None
                     continue
                 r = next(rows)
-                bits = np.packbits((r * np.uint16(0x9E37) >> np.uint16(15)).astype(np.uint8)).view(np.int64)
                 cls = int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
-                yield len(s), cls, r.tobytes(), int(bits[0]), int(bits[1])
+                yield len(s), cls, r.tobytes(), parities(s)
 
         for _, words in hashed_words(texts, lower=True, block=30_000):
             block.append(shingle_set(words, size))
@@ -95,7 +103,7 @@ def sketches(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
                 block.clear()
         yield from flush()
 
-    return map_texts(docs, "n long, cls long, sketch binary, low long, high long", work, keep=tuple(c for c in docs.columns if c != "text"))
+    return map_texts(docs, "n long, cls long, sketch binary, odd array<long>", work, keep=tuple(c for c in docs.columns if c != "text"))
 
 
 def _confirm(pairs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -146,19 +154,20 @@ def _labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> D
     Rows with equal sets are one class, so copies cost no links. In each band the classes with equal
     registers are compared with the bucket's least and greatest class; what these links join is one
     component. Then every pair of classes that share a bucket but not a component is compared, so no link that
-    matters is lost. Pairs within a component are never formed, and pairs across must agree in size and in
-    one bit of most registers before they become rows.
+    matters is lost. Pairs within a component are never formed, and pairs across become rows only if their sizes and
+    parities leave room for the similarity; that test is exact, it loses no link.
     """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     marked = materialize(sketches(keyed, size), "sketches")
     full = marked.where("cls IS NOT NULL")
     classes = materialize(full.groupBy("cls").agg(
-        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("low").alias("low"), F.first("high").alias("high"),
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("odd").alias("odd"),
         F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("copy")), "classes")
     width = 2 * ROWS
     buckets = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)), lambda k: F.xxhash64(
         k, F.substring(F.col("sketch"), k * width + 1, F.lit(width))))
-    members = classes.select("cls", "n", "low", "high", F.explode(buckets).alias("bucket"))
+    odd = [f"odd{k}" for k in range(PARITY_LONGS)]
+    members = classes.select("cls", "n", *[F.col("odd")[k].alias(c) for k, c in enumerate(odd)], F.explode(buckets).alias("bucket"))
     ends = members.groupBy("bucket").agg(
         F.min(F.struct("cls", "n")).alias("first"), F.max(F.struct("cls", "n")).alias("last")).where("first.cls <> last.cls")
     shared = materialize(members.join(ends, "bucket"), "buckets")
@@ -186,10 +195,12 @@ def _labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> D
     mixed = rooted.groupBy("bucket", "root").count().groupBy("bucket").agg(
         F.max(F.struct("count", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("bucket", "main")
     outside = rooted.join(mixed, "bucket").where("root <> main").select(
-        "bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("low").alias("low_a"), F.col("high").alias("high_a"), F.col("root").alias("root_a"))
-    unequal = F.bit_count(F.col("low").bitwiseXOR(F.col("low_a"))) + F.bit_count(F.col("high").bitwiseXOR(F.col("high_a")))
+        "bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), *[F.col(c).alias(f"{c}_a") for c in odd])
+    unequal = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_a"))) for c in odd), F.lit(0))
+    # Similar sets have at most this many elements that are in one of them only.
+    close = (100 + percent) * unequal <= (100 - percent) * (F.col("n") + F.col("n_a"))
     across = outside.join(rooted, "bucket").where(
-        (F.col("root") != F.col("root_a")) & _fits(F.col("n"), F.col("n_a"), percent) & (unequal <= MOST_UNEQUAL_BITS)).select(
+        (F.col("root") != F.col("root_a")) & _fits(F.col("n"), F.col("n_a"), percent) & close).select(
         F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
     more = confirmed(across)
 

@@ -96,6 +96,16 @@ def test_sketches_merge():
     assert (np.maximum(one, two) == both).all()
 
 
+def test_parities_never_differ_more_than_the_sets():
+    r = np.random.default_rng(6)
+    for n in (1, 30, 400, 5000):
+        a = np.unique(r.integers(0, 1 << 63, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[n // 5:], r.integers(0, 1 << 63, n // 7, dtype=np.uint64)]))
+        unequal = sum(((x ^ y) & ((1 << 64) - 1)).bit_count() for x, y in zip(near_duplicates.parities(a), near_duplicates.parities(b)))
+        assert unequal <= len(np.setxor1d(a, b))
+        assert n > 400 or unequal >= 0.8 * len(np.setxor1d(a, b))
+
+
 @pytest.mark.parametrize("radius, blocks", [(0, 1), (3, 6), (5, 8)])
 def test_block_tables_find_all_within_the_radius(spark, radius, blocks):
     r = random.Random(9)
