@@ -166,8 +166,7 @@ def _labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> D
     width = 2 * ROWS
     buckets = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)), lambda k: F.xxhash64(
         k, F.substring(F.col("sketch"), k * width + 1, F.lit(width))))
-    odd = [f"odd{k}" for k in range(PARITY_LONGS)]
-    members = classes.select("cls", "n", *[F.col("odd")[k].alias(c) for k, c in enumerate(odd)], F.explode(buckets).alias("bucket"))
+    members = classes.select("cls", "n", F.explode(buckets).alias("bucket"))
     ends = members.groupBy("bucket").agg(
         F.min(F.struct("cls", "n")).alias("first"), F.max(F.struct("cls", "n")).alias("last")).where("first.cls <> last.cls")
     shared = materialize(members.join(ends, "bucket"), "buckets")
@@ -194,7 +193,11 @@ def _labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> D
     rooted = materialize(rooted, "rooted")
     mixed = rooted.groupBy("bucket", "root").count().groupBy("bucket").agg(
         F.max(F.struct("count", "root"))["root"].alias("main"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("bucket", "main")
-    outside = rooted.join(mixed, "bucket").where("root <> main").select(
+    odd = [f"odd{k}" for k in range(PARITY_LONGS)]
+    rooted = rooted.join(mixed, "bucket").join(
+        classes.select("cls", *[F.col("odd")[k].alias(c) for k, c in enumerate(odd)]), "cls")
+    rooted = materialize(rooted, "mixed")
+    outside = rooted.where("root <> main").select(
         "bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"), *[F.col(c).alias(f"{c}_a") for c in odd])
     unequal = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_a"))) for c in odd), F.lit(0))
     # Similar sets have at most this many elements that are in one of them only.
