@@ -75,13 +75,20 @@ def spans(docs: DataFrame, window: int = WINDOW, edge: int = EDGE) -> DataFrame:
     def work(texts):
         for _, words in hashed_words(texts, block=50_000):
             places, hashes = edges(words, window, edge)
-            yield hashes.tolist(), places.tolist()
-
-    found = map_texts(docs, "edges array<long>, places array<int>", work, keep=("text_hash",))
-    each = found.select("text_hash", F.inline(F.arrays_zip(F.col("edges").alias("edge"), F.col("places").alias("place"))))
-    repeated = each.groupBy("edge").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("edge")
-    kept = each.join(repeated, "edge").groupBy("text_hash").agg(
-        F.array_sort(F.collect_set(F.struct("place", "edge"))).alias("run"))
+            if len(places) == 0:
+                yield [], []
+                continue
+            own, at, n = np.unique(hashes, return_inverse=True, return_counts=True)
+            by_edge = places[np.argsort(at, kind="stable")]
+            yield own.tolist(), [x.tolist() for x in np.split(by_edge, np.cumsum(n)[:-1])]
+
+    # An edge that fills a text, as a word said over and over does, is one row of it.
+    found = map_texts(docs, "edges array<long>, places array<array<int>>", work, keep=("text_hash",))
+    each = found.select("text_hash", F.inline(F.arrays_zip(F.col("edges").alias("edge"), F.col("places").alias("places"))))
+    repeated = each.groupBy("edge").agg(F.sum(F.size("places")).alias("n")).where("n > 1").select("edge")
+    placed = F.transform("edges", lambda e: F.transform(e["places"], lambda p: F.struct(p.alias("place"), e["edge"].alias("edge"))))
+    kept = each.join(repeated, "edge").groupBy("text_hash").agg(F.collect_set(F.struct("edge", "places")).alias("edges")).select(
+        "text_hash", F.array_sort(F.flatten(placed)).alias("run"))
     kept = materialize(kept, "edges")
     width = window - edge + 1
 
