@@ -24,8 +24,16 @@ def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored
 
 
-def batch_predict(model: PipelineModel, df: DataFrame, proba: bool = False) -> DataFrame:
-    """Scores partition by partition, which are the batches; same result as :func:`predict`."""
+def batch_predict(
+    model: PipelineModel, df: DataFrame, batch_rows: int | None = None, proba: bool = False
+) -> DataFrame:
+    """Scores partition by partition, which are the batches; same result as :func:`predict`.
+
+    ``batch_rows`` deals the rows into partitions of about that many, for a count and a shuffle;
+    without it the partitions stay as they are.
+    """
+    if batch_rows is not None:
+        df = df.repartition(max(1, -(-df.count() // batch_rows)))
     return predict_proba(model, df) if proba else predict(model, df)
 
 

@@ -21,7 +21,7 @@ def fitted(mixed_table, mixed_spec):
     return train.train(mixed_table, "row_id", mixed_spec, sampler=None, evaluate=False)[0]
 
 
-def test_registry():
+def test_registry(spark):
     assert {"logistic_regression", "decision_tree", "random_forest", "svm", "xgboost", "mlp"} <= set(REGISTRY)
     with pytest.raises(ValueError):
         get_model("nope", 1, 1)
