@@ -85,7 +85,8 @@ def train_class_means(spark, folder):
 
 
 def cross_validate(spark, folder):
-    pipeline = train.TrainingPipeline(key="event_id", spec=SPEC, sampler=None)
+    """All defaults: five folds, three repeats, BorderlineSMOTE inside each fold."""
+    pipeline = train.TrainingPipeline(key="event_id", spec=SPEC)
     return train.cross_validate(modelling(spark, folder), pipeline)
 
 
