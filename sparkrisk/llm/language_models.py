@@ -1,10 +1,10 @@
 """Scores documents by the difference of two language models' losses.
 
 A target model learns from chosen documents, a background model from all. Both are interpolated word
-pairs and words over one vocabulary, the words of all documents. The counts are exact and
-grow with the input, so they are never in one place: documents are dealt into chunks, a chunk counts its
-own n-grams once, and each range of n-gram hashes adds up what all chunks have counted and returns to
-each chunk the sums of the n-grams it has asked for.
+pairs and words over one vocabulary, the words of all documents. The counts are exact (n-grams are told
+apart by 64-bit hashes) and grow with the input, so they are never in one place: documents are dealt into
+chunks, a chunk counts its own n-grams once, and each range of n-gram hashes adds up what all chunks have
+counted and returns to each chunk the sums of the n-grams it has asked for.
 """
 
 from __future__ import annotations
@@ -22,17 +22,17 @@ from sparkrisk.llm.common import hashed_words, power_of_two, stirred
 CHUNK = 2048
 PAIRS = 0.5
 SMOOTHING = 0.5
-#: N-gram hashes have 48 bits, the last of which tells words from pairs.
-_SHIFT, _ONE = np.uint64(16), np.uint64(1)
+#: N-gram hashes have 64 bits, the last of which tells words from pairs.
+_ONE = np.uint64(1)
 _START = np.uint64(0x5DEECE66D)
 
 
 def _keys(words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of each word, of the word before it (or the start) and of the pair."""
     own = np.concatenate([[_START], words])
-    singles = (stirred(own) >> _SHIFT) | _ONE
+    singles = stirred(own) | _ONE
     with np.errstate(over="ignore"):
-        pairs = (stirred(own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:]) >> _SHIFT) & ~_ONE
+        pairs = stirred(own[:-1] * np.uint64(0x9E3779B97F4A7C15) + own[1:]) & ~_ONE
     return singles[1:], singles[:-1], pairs
 
 
@@ -45,27 +45,33 @@ def _chunk_keys(texts) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndar
 
 
 def _pack(numbers: np.ndarray) -> bytes:
-    """Sorted distinct numbers as differences of 32 bits; the few that need more keep their upper bits aside."""
+    """Sorted distinct numbers as differences of 48 bits; the few that need more keep their upper bits aside."""
     steps = np.diff(numbers, prepend=np.uint64(0))
-    high = (steps >> np.uint64(32)).astype(np.uint32)
+    high = (steps >> np.uint64(48)).astype(np.uint16)
     at = np.flatnonzero(high).astype(np.uint32)
-    return np.array([len(at)], np.uint32).tobytes() + at.tobytes() + high[at].tobytes() + steps.astype(np.uint32).tobytes()
+    low = steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+    return np.array([len(at)], np.uint32).tobytes() + at.tobytes() + high[at].tobytes() + low.tobytes()
 
 
 def _unpack(raw: bytes) -> np.ndarray:
     n = int(np.frombuffer(raw, np.uint32, 1)[0])
-    at, high = np.frombuffer(raw, np.uint32, n, 4), np.frombuffer(raw, np.uint32, n, 4 + 4 * n)
-    steps = np.frombuffer(raw, np.uint32, -1, 4 + 8 * n).astype(np.uint64)
-    steps[at] |= high.astype(np.uint64) << np.uint64(32)
+    at, high = np.frombuffer(raw, np.uint32, n, 4), np.frombuffer(raw, np.uint16, n, 4 + 4 * n)
+    low = np.frombuffer(raw, np.uint8, -1, 4 + 6 * n).reshape(-1, 6)
+    steps = np.zeros((len(low), 8), np.uint8)
+    steps[:, :6] = low
+    steps = steps.reshape(-1).view("<u8").astype(np.uint64)
+    steps[at] |= high.astype(np.uint64) << np.uint64(48)
     return np.cumsum(steps, dtype=np.uint64)
 
 
 def _squeeze(counts: np.ndarray) -> bytes:
-    return zlib.compress(counts.astype(np.uint32).tobytes(), 1)
+    """Counts in as many bytes (1, 2, 4 or 8, kept in front) as the largest needs, compressed."""
+    width = np.min_scalar_type(int(counts.max(initial=0))).itemsize
+    return bytes([width]) + zlib.compress(counts.astype(f"u{width}").tobytes(), 1)
 
 
 def _counts(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), np.uint32)
+    return np.frombuffer(zlib.decompress(raw[1:]), f"u{raw[0]}").astype(np.int64)
 
 
 def score(docs: DataFrame, target: DataFrame, chunk: int = CHUNK, pairs: float = PAIRS, smoothing: float = SMOOTHING) -> DataFrame:
@@ -80,7 +86,7 @@ def score(docs: DataFrame, target: DataFrame, chunk: int = CHUNK, pairs: float =
     kind = dict(docs.dtypes)["doc_id"]
     number = max(1, -(-docs.count() // chunk))
     ranges = power_of_two(number / 2)
-    bits = np.uint64(48 - (ranges.bit_length() - 1))
+    starts = np.arange(1, ranges, dtype=np.uint64) << np.uint64(65 - ranges.bit_length())
 
     def of(column):
         return F.pmod(F.xxhash64(column), F.lit(number))
@@ -102,7 +108,7 @@ def score(docs: DataFrame, target: DataFrame, chunk: int = CHUNK, pairs: float =
         marks = np.repeat(in_target, sizes)
         keys, place = np.unique(every, return_inverse=True)
         n, n_target = np.bincount(place, minlength=len(keys)), np.bincount(place[marks], minlength=len(keys))
-        cuts = np.searchsorted(keys >> bits, np.arange(1, ranges, dtype=np.uint64))
+        cuts = np.searchsorted(keys, starts)
         return pd.DataFrame({
             "part": np.arange(ranges), "chunk": key[0], "keys": [_pack(k) for k in np.split(keys, cuts)],
             "n": [_squeeze(c) for c in np.split(n, cuts)], "n_target": [_squeeze(c) for c in np.split(n_target, cuts)]})
