@@ -1,4 +1,4 @@
-"""From raw documents to token ids: five stages, each written before the next one reads it."""
+"""From raw documents to token ids and back: five stages, each written before the next one reads it."""
 
 from __future__ import annotations
 
@@ -32,11 +32,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens and ids of every document and repeat."""
+    """doc_id, n_tokens, ids and the text they decode to, of every document and repeat."""
     import public_tokenizers
 
-    return pieces.encode_table(docs, public_tokenizers.path(VOCABULARY), decode=False).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    return pieces.encode_table(docs, public_tokenizers.path(VOCABULARY)).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 
 STAGES = [("quality rules", quality), ("near duplicates", deduplicate), ("personal data", redact), ("mixing", mix), ("pieces", encode)]

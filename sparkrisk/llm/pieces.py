@@ -266,8 +266,8 @@ def _codec(vocabulary: Vocabulary) -> Codec:
     return _CODECS[key]
 
 
-def encode_table(docs: DataFrame, path: str, decode: bool = True) -> DataFrame:
-    """doc_id, ids and, unless ``decode`` is off, decoded of every row.
+def encode_table(docs: DataFrame, path: str) -> DataFrame:
+    """doc_id, ids and decoded of every row.
 
     The vocabulary (a fixed file, some hundred kilobytes) is read on the driver and broadcast. Missing and empty texts
     have no ids and decode to an empty text; repeated rows are encoded each; an empty table gives none.
@@ -278,9 +278,9 @@ def encode_table(docs: DataFrame, path: str, decode: bool = True) -> DataFrame:
         codec = _codec(vocabulary.value)
         for text in texts:
             ids = codec.encode(text)
-            yield (ids, codec.decode(ids)) if decode else (ids,)
+            yield ids, codec.decode(ids)
 
-    return map_texts(docs, "ids array<int>" + ", decoded string" * decode, work, rows=100)
+    return map_texts(docs, "ids array<int>, decoded string", work, rows=100)
 
 
 def digest_table(docs: DataFrame, path: str) -> DataFrame:
