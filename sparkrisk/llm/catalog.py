@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from sparkrisk.llm import (
-    fingerprints, language_models, mixing, near_duplicates, personal_data, pieces, quality_classifier, quality_rules, repeated_spans,
-    sharding,
+    alignment, fingerprints, language_models, main_text, mixing, near_duplicates, personal_data, pieces, quality_classifier, quality_rules,
+    ranking, repeated_spans, sharding,
 )
 
 
@@ -56,8 +56,23 @@ def op10_backtracking_pieces(spark, folder, vocabulary="piece_bpe_32k.model"):
     return pieces.digest_table(_documents(spark, folder), public_tokenizers.path(vocabulary))
 
 
+def op11_run_skipping_alignment(spark, folder, first="byte_bpe_50k.json", second="piece_bpe_32k.model"):
+    import public_tokenizers
+
+    return alignment.alignment(_documents(spark, folder), public_tokenizers.path(first), public_tokenizers.path(second))
+
+
+def op12_line_block_text(spark, folder):
+    return main_text.extract_table(spark.read.parquet(f"{folder}/pages.parquet"))
+
+
+def op13_norm_bucket_search(spark, folder):
+    return ranking.search(_documents(spark, folder), spark.read.parquet(f"{folder}/benchmark.parquet"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_ftrl_quality, op2_simhash_fingerprints, op3_fair_queue_mix, op4_debruijn_substrings, op5_host_rules, op6_boosted_spans,
     op7_setsketch_near_duplicates, op8_cross_entropy_difference, op9_hash_tree_shards, op10_backtracking_pieces,
+    op11_run_skipping_alignment, op12_line_block_text, op13_norm_bucket_search,
 )}
-SQL = {"op3_fair_queue_mix": mixing.SQL, "op5_host_rules": quality_rules.SQL}
+SQL = {"op3_fair_queue_mix": mixing.SQL, "op5_host_rules": quality_rules.SQL, "op13_norm_bucket_search": ranking.SQL}
