@@ -3,8 +3,8 @@
 Markup is stripped to lines, one for each block of the page; what its elements name as menus, notices, forms and
 the like becomes an empty line. Lengths of text outside links are summed over windows of lines. Text begins where the sum
 surges and ends where it dives to nothing. The element that holds all longer lines of the largest such
-stretch is the place of the main text: an article or main element around it is taken whole, in any other element
-what lies between its surge and dive points is.
+stretch is the place of the main text: an article or main element around it, or one with most of the stretch, is taken
+whole; in any other element what lies between its surge and dive points is.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ _TOKEN = re.compile(
     r"""|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attributes>(?:"[^"]*"|'[^']*'|[^'"<>])*+)>"""
     r"|<(?P<end2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<attributes2>[^<>]*)>")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
-_BREAK = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+_BREAK = re.compile(r"[^A-Za-z0-9]+|(?<=[a-z])(?=[A-Z])")
 
 # Element names and the names that pages give to what is not their main text.
 BLOCKS = frozenset(
@@ -40,6 +40,7 @@ UNSEEN = frozenset(
     "audio button canvas datalist dialog embed iframe label math noscript object option script select style svg template textarea title video".split())
 ASIDE = frozenset("aside dialog fieldset footer form header menu nav".split())
 CLOSED_BY_NEXT = frozenset("dd dt li tr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 HOLDERS = frozenset("article main".split())
 NAMES = frozenset(
     "ad ads adsense adsbygoogle advert advertisement adverts alert banner breadcrumb breadcrumbs byline colophon comment comments consent "
@@ -188,9 +189,12 @@ def main_lines(page: Page) -> list[str]:
     n = len(page.parents)
     aside = page.aside[:]
     holder = [0] * n  # the innermost article or main element, 0 if there is none
+    header = [kind == "header" for kind in page.kinds]
     for k in range(1, n):
+        header[k] = header[k] or header[page.parents[k]]
         aside[k] = aside[k] or aside[page.parents[k]]
         holder[k] = k if page.kinds[k] in HOLDERS else holder[page.parents[k]]
+    aside = [a or h and kind not in HEADINGS for a, h, kind in zip(aside, header, page.kinds)]  # headers of articles have their headings
     weights = [0 if aside[e] else w for e, _, w in page.lines]
     if not any(weights):  # an article may be one link
         weights = [0 if aside[e] or not holder[e] else len(t) for e, t, _ in page.lines]
@@ -200,17 +204,18 @@ def main_lines(page: Page) -> list[str]:
     totals = [sum(weights[a:b]) for a, b in found]
     a, b = found[totals.index(max(totals))]
     longest = max(weights[a:b])
-    counts = [0] * n
+    counts, sums = [0] * n, [0] * n
     for k in range(a, b):
-        if weights[k] >= min(LONG, longest):
-            counts[page.lines[k][0]] += 1
-    every = sum(counts)
+        element = page.lines[k][0]
+        sums[element] += weights[k]
+        counts[element] += weights[k] >= min(LONG, longest)
     for k in range(n - 1, 0, -1):
         counts[page.parents[k]] += counts[k]
-    place = max(k for k in range(n) if counts[k] == every)
-    whole = holder[place]
+        sums[page.parents[k]] += sums[k]
+    place = max(k for k in range(n) if counts[k] == counts[0])
+    whole = holder[place] or max((k for k in range(n) if page.kinds[k] in HOLDERS and 2 * sums[k] > sums[0]), default=0)
     place = whole or place
-    if page.kinds[place] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr"):  # one line decides nothing about its neighbours
+    if page.kinds[place] in HEADINGS or page.kinds[place] in ("p", "li", "tr"):  # one line decides nothing about its neighbours
         place = page.parents[place]
     inside = [k == place for k in range(n)]
     for k in range(1, n):

@@ -48,12 +48,26 @@ def folder(spark, corpus, tmp_path_factory):
     docs.withColumns({c: F.lit(c) for c in CLASHING}).repartition(3).write.parquet(f"{path}/documents.parquet")
     labels = pd.DataFrame({"doc_id": corpus["doc_id"], "quality": [int(len(t or "") > 200 and t != "the " * 300) for t in corpus["text"]], "toxic": 0})
     spark.createDataFrame(labels).write.parquet(f"{path}/labels.parquet")
+    pages = [(k, f"http://h{k % 3}.example.org/", html, k) for k, html in enumerate(awkward_pages())]
+    spark.createDataFrame(pages + [(None, None, None, 0), *pages[-1:]], "page_id long, url string, html string, text long").write.parquet(f"{path}/pages.parquet")
+    items = [(k, t, "x") for k, t in enumerate(asked(corpus["text"].tolist()))]
+    spark.createDataFrame(items, "item_id long, text string, score string").write.parquet(f"{path}/benchmark.parquet")
     return path
 
 
+def asked(texts):
+    """Texts to search for: passages, whole documents, one term, terms that nothing holds, none at all."""
+    whole = [t for t in texts if t and len(t) > 100]
+    return [" ".join(whole[0].split()[:40]), whole[-1], "two", "the the THE line", "日本語 テキスト", "qqqq-unknown", "", None, whole[8][:3000]]
+
+
+def awkward_pages():
+    return ["", "plain text only", "<p>" + "one two three " * 40 + "<p>x</p><ul>" + "<li><a href=/a>a</a>" * 9, "<article><p>short</article>"]
+
+
 @pytest.fixture(scope="session")
 def empty_folder(spark, folder, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("empty"))
-    for name in ("documents", "labels"):
+    for name in ("documents", "labels", "pages", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").where("false").write.parquet(f"{path}/{name}.parquet")
     return path
