@@ -21,14 +21,15 @@ _FINISH_PER_RANK = 2_000
 _FINISH_IN_ALL = 200_000
 _MAX_DIGITS_PER_ROUND = 4
 _KEY_DIGITS = 32
-STRATUM_LIMIT = 10_000
+# Strata whose sizes and cuts are literals of a plan; of more they stay tables (operators/strata.py).
+LITERAL_STRATA = 1_000
 
 
-def stratum_sizes(df: DataFrame, stratum: str) -> dict[str, int]:
-    """Rows per stratum; refuses missing strata and an absurd number of them."""
-    rows = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).limit(STRATUM_LIMIT + 1).collect()
-    if len(rows) > STRATUM_LIMIT:
-        raise ValueError(f"more than {STRATUM_LIMIT} strata")
+def stratum_sizes(df: DataFrame, stratum: str) -> dict[str, int] | None:
+    """Rows per stratum, ``None`` for more strata than ``LITERAL_STRATA``; refuses a missing one."""
+    rows = df.groupBy(stratum).agg(F.count(F.lit(1)).alias("n")).limit(LITERAL_STRATA + 1).collect()
+    if len(rows) > LITERAL_STRATA:
+        return None
     if any(r[0] is None for r in rows):
         raise ValueError("rows with a missing stratum cannot be placed")
     return dict(sorted((r[0], r["n"]) for r in rows))

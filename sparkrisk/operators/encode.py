@@ -122,8 +122,8 @@ class TableEncoderModel(Learned):
 
     def _nominal(self, df: DataFrame) -> list[Column]:
         return [
-            F.when(self._cell(df, p) == F.lit(value), 1.0).otherwise(0.0).alias(category_name(p["column"], value))
-            for p in self.learned["nominal"] for value in p["categories"][1:]
+            F.when(cell == F.lit(value), 1.0).otherwise(0.0).alias(category_name(p["column"], value))
+            for p in self.learned["nominal"] for cell in [self._cell(df, p)] for value in p["categories"][1:]
         ]
 
     def _ordinal(self, df: DataFrame) -> list[Column]:

@@ -17,8 +17,8 @@ import math
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,6 +33,8 @@ RIGHT_BLOCK = 32_768
 # Copies of a right vector, on average, beyond which small cells do not pay.
 _MAX_COPIES = 16
 _TILE = 2_000_000
+# Rows of a box inside a block.
+LEAF = 128
 # Vectors shared by more rows than this, and than this part of the table, are joined
 # by broadcast; there are at most _HOT_PARTS of them.
 _HOT_ROWS = 100_000
@@ -63,57 +65,86 @@ def squared_distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
 
 
 def _tiles(batches, width: int, pivots: np.ndarray):
-    """Slices of Arrow batches with their vectors and squared distances to all pivots,
+    """Slices of Arrow batches with their groups, vectors and squared distances to all pivots,
     small enough that the distance matrix stays a few megabytes."""
     step = max(1, _TILE // len(pivots))
     for batch in batches:
         for start in range(0, batch.num_rows, step):
             tile = batch.slice(start, step)
             x = _matrix(tile.column("vec"), width)
-            yield tile, x, squared_distances(x, pivots)
+            yield tile, tile.column("grp").to_numpy(), x, squared_distances(x, pivots)
 
 
-def _to_cells(df: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """Adds ``cell`` and ``reach``: nearest pivot and the distance to it."""
+def _reaches(df: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """``grp, cell, reach``: nearest pivot and the distance to it."""
     width = pivots.shape[1]
 
     def nearest_pivot(batches):
-        for tile, x, d2 in _tiles(batches, width, pivots):
+        for _, grp, x, d2 in _tiles(batches, width, pivots):
             cell = d2.argmin(axis=1)
             reach = np.sqrt(d2[np.arange(len(x)), cell])
             yield pa.RecordBatch.from_arrays(
-                [*tile.columns, pa.array(cell, pa.int32()), pa.array(reach, pa.float64())],
-                names=[*tile.schema.names, "cell", "reach"],
-            )
+                [pa.array(grp, pa.int32()), pa.array(cell, pa.int32()), pa.array(reach, pa.float64())], names=["grp", "cell", "reach"])
 
-    schema = T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType()),
-                           T.StructField("reach", T.DoubleType())])
-    return df.mapInArrow(nearest_pivot, schema)
+    return df.select("grp", "vec").mapInArrow(nearest_pivot, "grp int, cell int, reach double")
 
 
-def _to_targets(df: DataFrame, pivots: np.ndarray, radius: np.ndarray, bound: np.ndarray) -> DataFrame:
-    """Repeats each right vector for every cell in which it may be a neighbour."""
+def _dealt(df: DataFrame, pivots: np.ndarray, own: np.ndarray, other: np.ndarray, reach=None, names=("lb", "rb")) -> DataFrame:
+    """Adds ``cell`` and the blocks of both sides, a row for each block of the other side.
+
+    Left vectors go to the cell of their nearest pivot, right ones (with ``reach``) to every cell in
+    which they may be neighbours. ``own`` and ``other`` count the blocks of each group and cell.
+    """
     width = pivots.shape[1]
-    limit = (radius + bound) * (1 + _SLACK) + _SLACK
-    within = bound * (1 + _SLACK) + _SLACK
 
-    def spread(batches):
-        apart = np.sqrt(squared_distances(pivots, pivots))
-        for tile, x, d2 in _tiles(batches, width, pivots):
-            own = d2.argmin(axis=1)
-            near = np.sqrt(d2) <= limit[None, :]
-            # Distance to the plane halfway between the own pivot and the cell's pivot.
-            between = apart[own]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                plane = (d2 - d2[np.arange(len(x)), own][:, None]) / (2 * between)
-            near &= (between == 0) | (plane <= within[None, :])
-            at, cell = np.nonzero(near)
+    def deal(batches):
+        for tile, grp, x, d2 in _tiles(batches, width, pivots):
+            at, cell = (np.arange(len(x)), d2.argmin(axis=1)) if reach is None else _within(grp, d2, pivots, *reach)
+            copies = other[grp[at], cell]
+            at, cell = np.repeat(at, copies), np.repeat(cell, copies)
+            facing = np.arange(len(at)) - np.repeat(np.cumsum(copies) - copies, copies)
+            mine = tile.column("id").to_numpy()[at] % own[grp[at], cell]
             taken = tile.take(pa.array(at))
             yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array(cell, pa.int32())], names=[*tile.schema.names, "cell"]
-            )
+                [*taken.columns, *(pa.array(v, pa.int32()) for v in (cell, mine, facing))], names=[*tile.schema.names, "cell", *names])
+
+    added = [T.StructField(n, T.IntegerType()) for n in ("cell", *names)]
+    return df.mapInArrow(deal, T.StructType([*df.schema.fields, *added]))
+
 
-    return df.mapInArrow(spread, T.StructType([*df.schema.fields, T.StructField("cell", T.IntegerType())]))
+def _within(grp, d2, pivots, radius, bound):
+    """Rows and cells in which a right vector may be a neighbour."""
+    limit = (radius + bound) * (1 + _SLACK) + _SLACK
+    within = bound * (1 + _SLACK) + _SLACK
+    apart = np.sqrt(squared_distances(pivots, pivots))
+    own = d2.argmin(axis=1)
+    near = np.sqrt(d2) <= limit[grp]
+    # Distance to the plane halfway between the own pivot and the cell's pivot.
+    between = apart[own]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        plane = (d2 - d2[np.arange(len(d2)), own][:, None]) / (2 * between)
+    near &= (between == 0) | (plane <= within[grp])
+    return np.nonzero(near)
+
+
+def _target_counts(points: DataFrame, pivots: np.ndarray, radius: np.ndarray, bound: np.ndarray) -> np.ndarray:
+    """Right vectors of each group and cell; a task returns one row for each cell it meets."""
+    width, shape = pivots.shape[1], radius.shape
+
+    def count(batches):
+        total = np.zeros(shape, np.int64)
+        for _, grp, _, d2 in _tiles(batches, width, pivots):
+            at, cell = _within(grp, d2, pivots, radius, bound)
+            total += np.bincount(grp[at] * shape[1] + cell, minlength=total.size).reshape(shape)
+        grp, cell = np.nonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(grp, pa.int32()), pa.array(cell, pa.int32()), pa.array(total[grp, cell], pa.int64())], names=["grp", "cell", "n"])
+
+    counted = points.select("grp", "vec").mapInArrow(count, "grp int, cell int, n long").groupBy("grp", "cell").agg(F.sum("n").alias("n"))
+    out = np.zeros(shape, np.int64)
+    for r in counted.collect():
+        out[r["grp"], r["cell"]] = r["n"]
+    return out
 
 
 def _smallest(d2: np.ndarray, k: int) -> np.ndarray:
@@ -130,105 +161,144 @@ def _smallest(d2: np.ndarray, k: int) -> np.ndarray:
     return picked
 
 
-def _block_candidates(wanted: int):
-    def candidates(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"vec": [], "d2": [], "point": [], "members": []})
-        if not len(left) or not len(right):
-            return empty
-        right = right.sort_values("first_key", kind="stable").reset_index(drop=True)
-        a, b = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-        step = max(1, _TILE // len(b))
-        parts = []
-        for start in range(0, len(a), step):
-            d2 = squared_distances(a[start:start + step], b)
+def _leaves(x: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Rows halved along their widest side until few are left, and the boxes around them."""
+    waiting, done = [np.arange(len(x))], []
+    while waiting:
+        rows = waiting.pop()
+        part = x[rows]
+        spread = part.max(axis=0) - part.min(axis=0)
+        side = int(spread.argmax())
+        if len(rows) <= LEAF or spread[side] == 0:
+            done.append(rows)
+            continue
+        at = np.argsort(part[:, side], kind="stable")
+        values = part[at, side]
+        middle = len(rows) // 2
+        cut = np.searchsorted(values, values[middle])  # equal values stay together where that is possible
+        cut = cut or np.searchsorted(values, values[middle], side="right")
+        waiting += [rows[at[:cut]], rows[at[cut:]]]
+    return done, np.array([x[r].min(axis=0) for r in done]), np.array([x[r].max(axis=0) for r in done])
+
+
+def _pairs(a: np.ndarray, b: np.ndarray, wanted: int):
+    """For each row of ``a`` the numbers and squared distances of its ``wanted`` nearest rows of ``b``, ties by number.
+
+    Both are cut into small boxes. The nearest boxes of a left box give a distance within which each of its rows has
+    ``wanted`` others; no box farther away than that is looked at.
+    """
+    leaves_b, low_b, high_b = _leaves(b)
+    counts = np.array([len(r) for r in leaves_b])
+    for rows, low, high in zip(*_leaves(a)):
+        gap = np.maximum(0, np.maximum(low_b - high, low - high_b))
+        apart = (gap * gap).sum(axis=1)
+        near = np.argsort(apart, kind="stable")
+        first = int(np.searchsorted(np.cumsum(counts[near]), wanted)) + 1
+        some = np.concatenate([leaves_b[k] for k in near[:first]])
+        bound = np.inf
+        if len(some) >= wanted:
+            bound = max(
+                np.partition(squared_distances(a[rows[s:s + LEAF]], b[some]), wanted - 1, axis=1)[:, wanted - 1].max() for s in range(0, len(rows), LEAF))
+        columns = np.sort(np.concatenate([leaves_b[k] for k in np.flatnonzero(apart <= bound * (1 + _SLACK) + _SLACK)]))
+        step = max(1, _TILE // len(columns))
+        for start in range(0, len(rows), step):
+            d2 = squared_distances(a[rows[start:start + step]], b[columns])
             at = _smallest(d2, wanted)
-            parts.append((np.repeat(np.arange(start, start + len(d2)), at.shape[1]),
-                          at.ravel(), np.take_along_axis(d2, at, axis=1).ravel()))
-        row, col, dist = (np.concatenate(p) for p in zip(*parts))
-        return pd.DataFrame({
-            "vec": left["vec"].to_numpy()[row], "d2": dist,
-            "point": right["vec"].to_numpy()[col], "members": right["members"].to_numpy()[col],
-        })
+            yield np.repeat(rows[start:start + step], at.shape[1]), columns[at.ravel()], np.take_along_axis(d2, at, axis=1).ravel()
+
+
+def _block_candidates(wanted: int):
+    """The ``wanted`` best right vectors of a block for each left one, as numbers of both."""
+
+    def candidates(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return pa.table({"asked": pa.array([], pa.int64()), "d2": pa.array([], pa.float64()), "point": pa.array([], pa.int64())})
+        right = right.take(pc.sort_indices(right, [("first_key", "ascending")]))
+        left, right = left.combine_chunks(), right.combine_chunks()
+        width = len(left["vec"][0])
+        a, b = (_matrix(t["vec"].combine_chunks(), width) for t in (left, right))
+        row, col, dist = (np.concatenate(p) for p in zip(*_pairs(a, b, wanted)))
+        return pa.table({"asked": left["id"].to_numpy()[row], "d2": dist, "point": right["id"].to_numpy()[col]})
 
     return candidates
 
 
 def _fold_equal_vectors(points: DataFrame, keep: int) -> DataFrame:
-    """``(vec, first_key, members)``: per vector its ``keep`` smallest keys with labels.
+    """``(grp, vec, first_key, members)``: per vector its ``keep`` smallest keys with labels.
 
     The row-number filter is applied before the shuffle as well, so a vector shared
     by very many rows sends few of them from each task.
     """
-    return _first_of_each(points, "vec", ["key"], keep, F.struct("key", "label"), "members").select(
-        "vec", F.col("members")[0]["key"].alias("first_key"), "members"
+    return _first_of_each(points, ["grp", "vec"], ["key"], keep, F.struct("key", "label"), "members").select(
+        "grp", "vec", F.col("members")[0]["key"].alias("first_key"), "members"
     )
 
 
-def _first_of_each(df: DataFrame, group: str, order: Sequence[str], n: int, item: Column, output: str) -> DataFrame:
-    """``(group, output)``: array of the first ``n`` items of each group, in order.
+def _first_of_each(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int, item: Column, output: str) -> DataFrame:
+    """``(group.., output)``: array of the first ``n`` items of each group, in order.
 
     The list is gathered by a window over the rows left, so that the partitioning and
     the order of the row numbers serve it too.
     """
-    place = Window.partitionBy(group).orderBy(*order)
+    place = Window.partitionBy(*group).orderBy(*order)
     everything = place.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return (
         df.withColumn("place", F.row_number().over(place)).where(F.col("place") <= n)
         .withColumn(output, F.collect_list(item).over(everything))
-        .where(F.col("place") == 1).select(group, output)
+        .where(F.col("place") == 1).select(*group, output)
     )
 
 
-def nearest(left: DataFrame, right: DataFrame, k: int) -> DataFrame:
+def _numbered(df: DataFrame) -> DataFrame:
+    """Gives every row of a table that is about to be written a number of its own."""
+    return df.withColumn("id", F.monotonically_increasing_id())
+
+
+def nearest(left: DataFrame, right: DataFrame, k: int, groups: int | None = None, vectors: bool = True) -> DataFrame:
     """For every row of ``left`` its k nearest rows of ``right``.
 
     Both tables have ``key, label, vec``. Returns ``key, label, vec, neighbours``; the
-    array holds ``(d2, key, label, vec)`` by distance, then key. A row is not its own
-    neighbour.
+    array holds ``(d2, key, label, vec)`` by distance, then key; without ``vectors`` it lacks the vec. A row is not
+    its own neighbour. With ``groups`` both tables also have ``grp`` (0 to ``groups`` - 1), which is kept, and
+    neighbours are of the same group: many searches by the jobs of one. State on the driver is groups times pivots.
     """
+    if groups is None:
+        alone = [t.withColumn("grp", F.lit(0)) for t in (left, right)]
+        return nearest(*alone, k, 1, vectors).drop("grp")
     wanted = k + 1
-    points = materialize(_fold_equal_vectors(right, wanted), "knn-points")
-    asked = materialize(left.groupBy("vec").agg(F.count(F.lit(1)).alias("n_rows")), "knn-vectors")
-    sizes = asked.agg(F.count(F.lit(1)).alias("n"), F.sum("n_rows").alias("n_rows"),
-                      F.max("n_rows").alias("top")).first()
-    if not sizes["n"]:
-        return _attach(left, asked.select("vec", "n_rows", F.lit(None).cast(_list_type(right)).alias("near")), 0, 0, k)
+    points = materialize(_numbered(_fold_equal_vectors(right, wanted)), "knn-points")
+    asked = materialize(_numbered(left.groupBy("grp", "vec").agg(F.count(F.lit(1)).alias("n_rows"))), "knn-vectors")
+    sizes = asked.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_rows").alias("n_rows"), F.max("n_rows").alias("top")).collect()
     n_points = points.count()
-    coarse = math.ceil(sizes["n"] / LEFT_BLOCK)
-    for n_pivots in (min(MAX_PIVOTS, math.ceil(sizes["n"] / VECTORS_PER_CELL)), coarse):
+    if not sizes or not n_points:
+        kind = _list_type(right, vectors)
+        return _attach(left, asked.select("grp", "vec", "n_rows", F.lit(None).cast(kind).alias("near")), 0, 0, k)
+    n_asked = max(r["n"] for r in sizes)
+    coarse = math.ceil(n_asked / LEFT_BLOCK)
+    for n_pivots in (min(MAX_PIVOTS, math.ceil(n_asked / VECTORS_PER_CELL)), coarse):
         n_pivots = max(1, min(MAX_PIVOTS, n_pivots))
         pivots = _pick_pivots(asked, n_pivots)
-        asked_cells = _to_cells(asked, pivots)
-        radius, left_rows = np.full(len(pivots), -np.inf), np.zeros(len(pivots), dtype=np.int64)
-        for r in asked_cells.groupBy("cell").agg(F.max("reach").alias("u"), F.count(F.lit(1)).alias("n")).collect():
-            radius[r["cell"]], left_rows[r["cell"]] = r["u"], r["n"]
+        radius, left_rows = np.full((groups, len(pivots)), -np.inf), np.zeros((groups, len(pivots)), dtype=np.int64)
+        for r in _reaches(asked, pivots).groupBy("grp", "cell").agg(F.max("reach").alias("u"), F.count(F.lit(1)).alias("n")).collect():
+            radius[r["grp"], r["cell"]], left_rows[r["grp"], r["cell"]] = r["u"], r["n"]
         bound = _bounds(points, pivots, radius, wanted)
-        targets = _to_targets(points, pivots, radius, bound)
-        right_rows = np.zeros(len(pivots), dtype=np.int64)
-        for r in targets.groupBy("cell").count().collect():
-            right_rows[r["cell"]] = r["count"]
+        right_rows = _target_counts(points, pivots, radius, bound)
         # With many features most vectors are about equally far apart and go to most
         # cells; then cells as large as a block need the fewest copies.
         if n_pivots <= coarse or right_rows.sum() <= _MAX_COPIES * n_points:
             break
-    left_blocks = np.maximum(1, -(-left_rows // LEFT_BLOCK)).tolist()
-    right_blocks = np.maximum(1, -(-right_rows // RIGHT_BLOCK)).tolist()
-    a = _blocked(asked_cells.select("vec", "cell"), left_blocks, right_blocks, "lb", "rb")
-    b = _blocked(targets, right_blocks, left_blocks, "rb", "lb")
-    block = ["cell", "lb", "rb"]
-    found = a.groupBy(*block).cogroup(b.groupBy(*block)).applyInPandas(
-        _block_candidates(wanted),
-        T.StructType([
-            T.StructField("vec", T.ArrayType(T.DoubleType())), T.StructField("d2", T.DoubleType()),
-            T.StructField("point", T.ArrayType(T.DoubleType())), points.schema["members"],
-        ]),
-    )
+    left_blocks, right_blocks = (np.maximum(1, -(-n // size)) for n, size in ((left_rows, LEFT_BLOCK), (right_rows, RIGHT_BLOCK)))
+    a = _dealt(asked.select("grp", "id", "vec"), pivots, left_blocks, right_blocks)
+    b = _dealt(points.select("grp", "id", "vec", "first_key"), pivots, right_blocks, left_blocks, (radius, bound), ("rb", "lb"))
+    block = ["grp", "cell", "lb", "rb"]
+    found = a.groupBy(*block).cogroup(b.groupBy(*block)).applyInArrow(_block_candidates(wanted), "asked long, d2 double, point long")
+    members = points.select(F.col("id").alias("point"), "members", *(["vec"] if vectors else []))
     lists = _first_of_each(
-        found.select("vec", "d2", "point", F.inline("members")), "vec", ["d2", "key"], wanted,
-        F.struct("d2", "key", "label", F.col("point").alias("vec")), "near",
+        found.join(members, "point").select("asked", "d2", *(["vec"] if vectors else []), F.inline("members")), ["asked"], ["d2", "key"], wanted,
+        F.struct("d2", "key", "label", *(["vec"] if vectors else [])), "near",
     )
-    lists = asked.join(lists, "vec", "left")
-    return _attach(left, lists, sizes["n_rows"], sizes["top"], k)
+    lists = asked.join(lists.withColumnRenamed("asked", "id"), "id", "left").drop("id")
+    return _attach(left, lists, sum(r["n_rows"] for r in sizes), max(r["top"] for r in sizes), k)
 
 
 def _pick_pivots(asked: DataFrame, n: int) -> np.ndarray:
@@ -237,38 +307,24 @@ def _pick_pivots(asked: DataFrame, n: int) -> np.ndarray:
     return np.array([r["vec"] for r in shuffled.limit(n).collect()])
 
 
-def _list_type(right: DataFrame) -> T.ArrayType:
-    return T.ArrayType(T.StructType([
-        T.StructField("d2", T.DoubleType()), right.schema["key"], right.schema["label"],
-        T.StructField("vec", T.ArrayType(T.DoubleType())),
-    ]))
+def _list_type(right: DataFrame, vectors: bool) -> T.ArrayType:
+    fields = [T.StructField("d2", T.DoubleType()), right.schema["key"], right.schema["label"]]
+    return T.ArrayType(T.StructType(fields + ([T.StructField("vec", T.ArrayType(T.DoubleType()))] if vectors else [])))
 
 
 def _bounds(points: DataFrame, pivots: np.ndarray, radius: np.ndarray, wanted: int) -> np.ndarray:
-    """Per cell a distance within which each of its vectors has ``wanted`` right vectors."""
-    order = Window.partitionBy("cell").orderBy("reach")
-    close = (
-        _to_cells(points.select("vec"), pivots).select("cell", "reach")
-        .withColumn("place", F.row_number().over(order)).where(F.col("place") <= wanted).collect()
-    )
-    at = np.array([r["cell"] for r in close], dtype=int)
-    reach = np.array([r["reach"] for r in close])
-    if len(close) < wanted:
-        return np.full(len(pivots), np.inf)
+    """Per group and cell a distance within which each of its vectors has ``wanted`` right vectors."""
+    order = Window.partitionBy("grp", "cell").orderBy("reach")
+    close = _reaches(points, pivots).withColumn("place", F.row_number().over(order)).where(F.col("place") <= wanted).toArrow()
+    grp, cell, reach = (close.column(c).to_numpy() for c in ("grp", "cell", "reach"))
     apart = np.sqrt(squared_distances(pivots, pivots))
-    # radius is -inf for a cell without left vectors: nothing is sent there.
-    return np.array([
-        np.partition(radius[i] + apart[i, at] + reach, wanted - 1)[wanted - 1] for i in range(len(pivots))
-    ])
-
-
-def _blocked(df: DataFrame, own: Sequence[int], other: Sequence[int], own_name: str, other_name: str) -> DataFrame:
-    """Gives each row one block of its own side and a copy for every block of the other side."""
-    count = F.get(F.array(*[F.lit(int(n)) for n in own]), F.col("cell"))
-    copies = F.get(F.array(*[F.lit(int(n)) for n in other]), F.col("cell"))
-    return df.withColumn(own_name, F.pmod(F.xxhash64("vec"), count).cast("int")).withColumn(
-        other_name, F.explode(F.sequence(F.lit(0), copies - 1))
-    )
+    out = np.full(radius.shape, np.inf)
+    for g in range(len(radius)):
+        at, own = cell[grp == g], reach[grp == g]
+        if len(at) >= wanted:
+            # radius is -inf for a cell without left vectors: nothing is sent there.
+            out[g] = [np.partition(radius[g, i] + apart[i, at] + own, wanted - 1)[wanted - 1] for i in range(len(pivots))]
+    return out
 
 
 def _attach(left: DataFrame, lists: DataFrame, n_rows: int, top: int, k: int) -> DataFrame:
@@ -277,15 +333,16 @@ def _attach(left: DataFrame, lists: DataFrame, n_rows: int, top: int, k: int) ->
     Vectors shared by more than 1/4096 of the rows (so at most 4096 of them) are
     joined by broadcast, all others by shuffle.
     """
+    same = ["grp", "vec"]
     hot_from = max(_HOT_ROWS, n_rows // _HOT_PARTS)
     if top > hot_from:
-        hot = F.broadcast(lists.where(F.col("n_rows") > hot_from).select("vec", F.col("near").alias("hot")))
-        cold = lists.where(F.col("n_rows") <= hot_from).select("vec", "near")
-        marked = left.join(hot, "vec", "left")
+        hot = F.broadcast(lists.where(F.col("n_rows") > hot_from).select(*same, F.col("near").alias("hot")))
+        cold = lists.where(F.col("n_rows") <= hot_from).select(*same, "near")
+        marked = left.join(hot, same, "left")
         common = marked.where(F.col("hot").isNotNull()).withColumnRenamed("hot", "near")
-        rest = marked.where(F.col("hot").isNull()).drop("hot").join(cold, "vec", "left")
+        rest = marked.where(F.col("hot").isNull()).drop("hot").join(cold, same, "left")
         joined = common.unionByName(rest)
     else:
-        joined = left.join(lists.select("vec", "near"), "vec", "left")
+        joined = left.join(lists.select(*same, "near"), same, "left")
     others = F.filter("near", lambda n: n["key"] != F.col("key"))
-    return joined.select("key", "label", "vec", F.slice(others, 1, k).alias("neighbours"))
+    return joined.select("grp", "key", "label", "vec", F.slice(others, 1, k).alias("neighbours"))

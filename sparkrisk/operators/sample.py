@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrisk.functions import ident, order_key
+from sparkrisk.operators import strata
 from sparkrisk.operators.cutoffs import keys_at_ranks, stratum_sizes
 from sparkrisk.operators.profile import value_shares
 from sparkrisk.spec import CV_FOLDS, CV_REPEATS, SEED, TARGET, TEST_SHARE
@@ -45,7 +46,8 @@ def holdout_split(
     """Adds ``split`` = ``train`` or ``test``; sizes are exact, class shares are kept.
 
     ``key`` must name the rows uniquely. No row is shuffled: the hashed key at the
-    class's last test rank is found first, then every row is compared with it.
+    class's last test rank is found first, then every row is compared with it. Of very many
+    classes the sizes and keys are tables.
     """
     if target not in df.columns:
         raise ValueError(f"target column {target!r} not found")
@@ -53,6 +55,8 @@ def holdout_split(
     hashed = _key(seed, key)
     narrow = df.select(stratum.alias("stratum"), hashed.alias("key"))
     sizes = stratum_sizes(narrow, "stratum")
+    if sizes is None:
+        return strata.holdout(df, stratum, hashed, test_share, output)
     if not sizes:
         return df.withColumn(output, F.lit("train"))
     test = test_sizes(sizes, test_share)
@@ -106,6 +110,8 @@ def repeated_folds(
         raise ValueError("at least two folds are needed")
     stratum = ident(target).cast("string")
     sizes = stratum_sizes(df.select(stratum.alias("stratum")), "stratum")
+    if sizes is None:
+        return strata.folds(df, stratum, [_key(seed + r, key) for r in range(repeats)], folds, prefix)
     if not sizes:
         return df.withColumns({f"{prefix}{r}": F.lit(0) for r in range(repeats)})
     if max(sizes.values()) < folds:

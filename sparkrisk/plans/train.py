@@ -16,7 +16,9 @@ from sparkrisk.operators import metrics
 from sparkrisk.operators.models import FEATURES, LABEL, ScoreColumns, get_model, model_entry
 from sparkrisk.operators.oversample import get_sampler
 from sparkrisk.operators.sample import repeated_folds
+from sparkrisk.plans import folds as folds_together
 from sparkrisk.plans.features import feature_names, feature_pipeline
+from sparkrisk.session import materialize
 from sparkrisk.sources.files import path_exists, results_document, write_json
 from sparkrisk.spec import (
     BORDERLINE_NEIGHBOURS, CV_FOLDS, CV_REPEATS, DEFAULT_SPEC, METRICS, SEED, SMOTE_NEIGHBOURS, FeatureSpec,
@@ -76,29 +78,42 @@ def fold_scores(
     labelled: DataFrame, pipeline: TrainingPipeline, folds: int, repeats: int, parallelism: int = 4,
     scorers: Mapping[str, Column] | None = None,
 ) -> list[dict]:
-    """One entry per fit and side. ``labelled`` has ``fold_0 ..``; a few fits run at once."""
-    target = pipeline.spec.target
-    sides = [f"fold_{r}" for r in range(repeats)]
-
-    def one(at: tuple[int, int]) -> list[dict]:
-        r, f = at
-        held_out = F.col(f"fold_{r}") == f
-        fitted = pipeline.fit(labelled.where(~held_out).drop(*sides))
-        scored = fitted.transform(labelled.withColumn("side", F.when(held_out, "test").otherwise("train")))
-        scored = scored.select("side", ident(target).alias("y_true"), "y_pred", "y_score")
-        # The evaluation reads its four columns several times; the model runs once.
-        scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            rows = metrics.evaluate(scored, score="y_score", by=["side"], extra=scorers).collect()
-        finally:
-            scored.unpersist()
-        return [{"repeat": r, "fold": f, **row.asDict()} for row in rows]
+    """One entry per fit and side. ``labelled`` has ``fold_0 ..``.
 
+    Fits that use the library's own steps share the jobs that prepare them; others are fitted one by one. A
+    few models are fitted at once, and one evaluation covers all of them.
+    """
     points = [(r, f) for r in range(repeats) for f in range(folds)]
+    target = pipeline.spec.target
+    masks = {g: F.col(f"fold_{r}") != f for g, (r, f) in enumerate(points)}
+    if folds_together.can_share(pipeline.preprocessor, pipeline.sampler):
+        # Folds are long expressions, which each fit would compute again for every column.
+        labelled = materialize(labelled, "fold-labels")
+        scored = folds_together.scores_together(
+            labelled, pipeline.preprocessor, pipeline.sampler, pipeline.model, masks, pipeline.key, target, parallelism)
+    else:
+        scored = _scores_apart(labelled, pipeline, masks, [f"fold_{r}" for r in range(repeats)], parallelism)
+    rows = metrics.evaluate(scored, score="y_score", by=["grp", "side"], extra=scorers).collect()
+    return [{"repeat": points[row["grp"]][0], "fold": points[row["grp"]][1], **row.asDict()} for row in rows]
+
+
+def _scores_apart(
+    labelled: DataFrame, pipeline: TrainingPipeline, masks: Mapping[int, Column], sides: Sequence[str], parallelism: int,
+) -> DataFrame:
+    """The table of ``folds.scores_together`` for pipelines with parts of their own."""
+
+    def one(g: int) -> DataFrame:
+        fitted = pipeline.fit(labelled.where(masks[g]).drop(*sides))
+        scored = fitted.transform(labelled.withColumn("side", F.when(masks[g], "train").otherwise("test")))
+        return scored.select(F.lit(g).alias("grp"), "side", ident(pipeline.spec.target).alias("y_true"), "y_pred", "y_score")
+
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         run = inheritable_thread_target(labelled.sparkSession)(one)
-        jobs = [pool.submit(run, p) for p in points]
-        return [entry for job in jobs for entry in job.result()]
+        tables = [job.result() for job in [pool.submit(run, g) for g in masks]]
+    union = tables[0]
+    for more in tables[1:]:
+        union = union.unionByName(more)
+    return materialize(union, "fold-scores")
 
 
 def cross_validate(
@@ -119,8 +134,6 @@ def cross_validate(
     """
     metric_names = [*metric_names, *(scorers or {})]
     spark = df.sparkSession
-    # Folds are comparisons with literals, so they are not stored: every pass reads the
-    # columns it needs from ``df``, which should be a stored table.
     labelled = repeated_folds(df, pipeline.key, pipeline.spec.target, folds, repeats, seed)
     entries = fold_scores(labelled, pipeline, folds, repeats, parallelism, scorers)
     columns = ["repeat", "fold", "side", *metric_names]

@@ -55,12 +55,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(scratch_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def materialize(df, name: str):
+def materialize(df, name: str, by: tuple[str, ...] = ()):
     """Write a table to the scratch folder and read it back.
 
     Cuts the lineage at a point that outlives lost executors, for tables that
-    several later jobs read.
+    several later jobs read. With ``by`` each value of those columns has a folder of its own, so that
+    a filter on them reads nothing else.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

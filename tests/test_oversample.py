@@ -29,7 +29,7 @@ def points(n, d, seed, copies=0):
 @pytest.mark.parametrize("d, copies, small", [(2, 0, False), (2, 200, True), (6, 50, True), (1, 0, True)])
 def test_nearest_equals_brute_force(spark, monkeypatch, d, copies, small):
     if small:
-        for name, value in (("VECTORS_PER_CELL", 20), ("LEFT_BLOCK", 16), ("RIGHT_BLOCK", 50), ("_TILE", 500)):
+        for name, value in (("VECTORS_PER_CELL", 20), ("LEFT_BLOCK", 16), ("RIGHT_BLOCK", 50), ("_TILE", 500), ("LEAF", 4)):
             monkeypatch.setattr(nb, name, value)
     frame = points(600, d, 3, copies)
     df = spark.createDataFrame(frame, "key long, label string, vec array<double>").repartition(4)
