@@ -150,6 +150,8 @@ def folds(df: DataFrame, stratum: Column, hashed: list[Column], n_folds: int, pr
     lists = materialize(numbered.groupBy("__stratum").agg(*[
         F.collect_list(F.when(F.col("r") == str(r), F.col("cut"))).alias(f"__cuts_{r}") for r in range(len(hashed))]), "fold-cuts")
     joined = attach(df, lists, stratum, "__stratum")
-    return joined.withColumns({
-        f"{prefix}{r}": F.size(F.filter(f"__cuts_{r}", lambda c, h=h: h >= c)).cast("int") for r, h in enumerate(hashed)
-    }).drop(*[f"__cuts_{r}" for r in range(len(hashed))])
+
+    def passed(cuts: str, h: Column) -> Column:
+        return F.size(F.filter(cuts, lambda c: h >= c)).cast("int")
+
+    return joined.withColumns({f"{prefix}{r}": passed(f"__cuts_{r}", h) for r, h in enumerate(hashed)}).drop(*[f"__cuts_{r}" for r in range(len(hashed))])

@@ -25,8 +25,8 @@ def labelled(dirty):
     return materialize(repeated_folds(dirty, "row_id", "target", 3, 2), "labelled")
 
 
-def masks():
-    return {g: F.col(f"fold_{g // 3}") != g % 3 for g in range(6)}
+def masks(fits=6):
+    return {g: F.col(f"fold_{g // 3}") != g % 3 for g in range(fits)}
 
 
 @pytest.mark.parametrize("width", [150, 14])
@@ -36,18 +36,18 @@ def test_statistics_equal_those_of_separate_fits(labelled, mixed_spec, monkeypat
     for g, mask in masks().items():
         apart = feature_pipeline(mixed_spec).fit(labelled.where(mask))
         assert [s.learned for s in together[g].stages] == [s.learned for s in apart.stages]
-    assert len({len(m.stages[-1].feature_names) for m in together.values()}) == 1  # ranks hide the category of one row
+    assert len({len(m.stages[-1].feature_names) for m in together.values()}) == 1
     assert len({str(m.stages[-1].learned) for m in together.values()}) == 6
 
 
-@pytest.mark.parametrize("sampler", [None, "SMOTE", "BorderlineSMOTE"])
+@pytest.mark.parametrize("sampler", [None, "BorderlineSMOTE"])
 def test_scores_equal_those_of_separate_fits(labelled, mixed_spec, sampler):
     pipeline = train.TrainingPipeline(key="row_id", spec=mixed_spec, sampler=sampler)
     assert folds.can_share(pipeline.preprocessor, pipeline.sampler)
-    together = folds.scores_together(labelled, pipeline.preprocessor, pipeline.sampler, pipeline.model, masks(), "row_id", "target", 3)
-    apart = train._scores_apart(labelled, pipeline, masks(), ["fold_0", "fold_1"], 3)
+    together = folds.scores_together(labelled, pipeline.preprocessor, pipeline.sampler, pipeline.model, masks(2), "row_id", "target", 3)
+    apart = train._scores_apart(labelled, pipeline, masks(2), ["fold_0", "fold_1"], 3)
     rows = [sorted((r["grp"], r["side"], int(r["y_true"]), round(r["y_score"], 4)) for r in t.collect()) for t in (together, apart)]
-    assert len(rows[0]) == len(rows[1]) == 600
+    assert len(rows[0]) == len(rows[1]) == 200
     for a, b in zip(*rows):
         assert a[:3] == b[:3] and abs(a[3] - b[3]) <= 2e-4
 
@@ -58,7 +58,7 @@ def test_other_parts_are_fitted_one_by_one(mixed_spec):
 
 
 def test_cross_validation_with_resampling(dirty, mixed_spec):
-    rows = {r["metric"]: r for r in train.cross_validate(dirty, train.TrainingPipeline(key="row_id", spec=mixed_spec), 3, 1).collect()}
+    rows = {r["metric"]: r for r in train.cross_validate(dirty, train.TrainingPipeline(key="row_id", spec=mixed_spec), 2, 1).collect()}
     assert all(0 <= rows[m]["test_mean"] <= 1 for m in rows) and len(rows) == 7
     assert rows["recall"]["train_mean"] > 0.2  # rows of the smaller class were added
 
