@@ -26,6 +26,12 @@ def shape_before_after(spark, folder):
     return profile.table_shape(before, "before").unionByName(profile.table_shape(clean.clean(before), "after"))
 
 
+def separated(spark, folder):
+    """Both tables, paired again by their key."""
+    features, target = clean.separate_target(clean.clean(raw(spark, folder)), key="event_id")
+    return rounded(features.join(target, "event_id"))
+
+
 QUERIES = {
     "csv_scan_strings": csv_scan_strings,
     "prepare_job": prepare_job,
@@ -43,7 +49,7 @@ QUERIES = {
     "valid_target": lambda s, d: rounded(clean.valid_target(clean.coerce_numeric(raw(s, d)))),
     "clean_report": lambda s, d: clean.clean_report(raw(s, d)),
     "clean_pipeline": lambda s, d: rounded(clean.clean(raw(s, d))),
-    "separate_target": lambda s, d: rounded(clean.separate_target(clean.clean(raw(s, d)), key="event_id")[0]),
+    "separate_target": separated,
     "rename_columns": lambda s, d: clean.rename_columns(
         load(s, d, "customer"), {"c_custkey": "customer_id", "c_acctbal": "balance", "absent": "x"}),
     "complete_cases": lambda s, d: rounded(clean.complete_cases(clean.coerce_numeric(raw(s, d)))),
@@ -116,7 +122,7 @@ SQL = {
       CAST(4 AS BIGINT) AS columns_left
       FROM raw r JOIN coerced c ON r.event_id = c.event_id""",
     "clean_pipeline": f"WITH {RAW}, {_COERCED} {_CLEANED}",
-    "separate_target": f"WITH {RAW}, {_COERCED} SELECT event_id, reading, visitor FROM coerced WHERE kredit IN (0, 1)",
+    "separate_target": f"WITH {RAW}, {_COERCED} SELECT event_id, reading, visitor, kredit FROM coerced WHERE kredit IN (0, 1)",
     "rename_columns": "SELECT c_custkey AS customer_id, c_name, c_nationkey, c_acctbal AS balance, c_mktsegment FROM customer",
     "complete_cases": f"""WITH {RAW}, {_COERCED} SELECT * FROM coerced WHERE event_id IS NOT NULL
       AND reading IS NOT NULL AND visitor IS NOT NULL AND kredit IS NOT NULL AND mixed_type_col IS NOT NULL""",

@@ -17,6 +17,9 @@ from sparkrisk.spec import METRICS_WITHOUT_AP
 from sparkrisk.streaming import clean_stream, score_stream
 
 
+_FIGURES = ("test_mean", "test_std", "train_mean", "train_std")
+
+
 def write_clean_table(spark, folder):
     path = scratch_path(spark, "clean")
     files.write_table(clean.clean(raw(spark, folder)), path)
@@ -52,8 +55,9 @@ def results_document(spark, folder):
     train.save_results(evaluation.cv_summary(spark, folder), "logistic_regression", path)
     read = spark.read.json(path)
     return rounded(read.select(
-        "model", "model_display_name", "config.cv_folds", "config.random_seed", "config.smote_config.method",
-        F.col("metrics.f1.test_mean").alias("f1_test_mean"), F.col("metrics.recall.train_std").alias("recall_train_std")))
+        "model", "model_display_name", "config.cv_folds", "config.cv_repeats", "config.random_seed",
+        "config.smote_config.method", "config.smote_config.random_state", "config.smote_config.k_neighbors", "config.smote_config.m_neighbors",
+        *[F.col(f"metrics.{m}.{f}").alias(f"{m}_{f}") for m in evaluation._RATIOS for f in _FIGURES]))
 
 
 def save_load_preprocessor(spark, folder):
@@ -76,11 +80,11 @@ def encoded_names(spark, folder):
 
 
 def dense_matrix(spark, folder):
-    df = load(spark, folder, "lineitem").select("l_quantity", "l_extendedprice", "l_tax")
+    """Every vector, cell by cell, beside the row it was made of."""
+    df = load(spark, folder, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_tax")
     x = vector_to_array("features")
-    return rounded(assemble(df, df.columns).agg(
-        F.count("features").alias("n_rows"), F.max(F.size(x)).cast("bigint").alias("width"),
-        F.sum(x[0]).alias("s0"), F.sum(x[2]).alias("s2")), 4)
+    cells = assemble(df, df.columns[2:]).select("l_orderkey", "l_linenumber", F.size(x).alias("width"), *[x[j].alias(f"x{j}") for j in range(3)])
+    return rounded(cells)
 
 
 def model_sweep(spark, folder):
@@ -154,9 +158,10 @@ SQL = {
       SELECT {evaluation._ROUNDED}, roc_auc, average_precision,
              true_negatives, false_positives, false_negatives, true_positives FROM m, r""",
     "results_document": f"""WITH s AS ({_SUMMARY}) SELECT 'logistic_regression' AS model,
-      'Logistic Regression' AS model_display_name, CAST(5 AS BIGINT) AS cv_folds, CAST(42 AS BIGINT) AS random_seed,
-      'BorderlineSMOTE' AS method, (SELECT test_mean FROM s WHERE metric = 'f1') AS f1_test_mean,
-      (SELECT train_std FROM s WHERE metric = 'recall') AS recall_train_std""",
+      'Logistic Regression' AS model_display_name, CAST(5 AS BIGINT) AS cv_folds, CAST(3 AS BIGINT) AS cv_repeats,
+      CAST(42 AS BIGINT) AS random_seed, 'BorderlineSMOTE' AS method, CAST(42 AS BIGINT) AS random_state,
+      CAST(5 AS BIGINT) AS k_neighbors, CAST(10 AS BIGINT) AS m_neighbors, """ + ", ".join(
+        f"(SELECT {f} FROM s WHERE metric = '{m}') AS {m}_{f}" for m in evaluation._RATIOS for f in _FIGURES),
     "save_load_model": f"""WITH {LABELLED} SELECT event_id, CASE WHEN {_PROBA} > 0.5 THEN 1 ELSE 0 END AS y_pred,
       ROUND({_PROBA}, 6) AS y_proba FROM labelled""",
     "score_job": f"""WITH {LABELLED} SELECT y AS y_true, CASE WHEN {_PROBA} > 0.5 THEN 1 ELSE 0 END AS y_pred,
@@ -169,8 +174,8 @@ SQL = {
         WHERE flag > (SELECT MIN(flag) FROM mixed)
       UNION ALL SELECT 'status_' || status FROM (SELECT DISTINCT status FROM mixed)
         WHERE status > (SELECT MIN(status) FROM mixed)""",
-    "dense_matrix": """SELECT COUNT(*) AS n_rows, CAST(3 AS BIGINT) AS width, ROUND(SUM(l_quantity), 4) AS s0,
-      ROUND(SUM(l_tax), 4) AS s2 FROM lineitem""",
+    "dense_matrix": """SELECT l_orderkey, l_linenumber, CAST(3 AS INTEGER) AS width, ROUND(l_quantity, 6) AS x0, ROUND(l_extendedprice, 6) AS x1,
+      ROUND(l_tax, 6) AS x2 FROM lineitem""",
     "stream_clean": cleaning.SQL["clean_pipeline"],
     "stream_encode": encoding.SQL["encode_all"],
 }

@@ -30,15 +30,17 @@ def read_delimited(
     delimiter: str = ",",
     schema: T.StructType | None = None,
     missing: Sequence[str] = MISSING_TOKENS,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Delimited text with a header row, every column as text.
 
     Types are not inferred: that would read the data twice and turn on one odd
-    cell. Give ``schema`` to skip the look at the header line as well.
+    cell. Give ``schema`` to skip the look at the header line as well. Quoted cells may hold line breaks
+    with ``multi_line``; then a file is read by one task, so large data should come in many files.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"no file at {path}")
-    reader = spark.read.option("header", True).option("sep", delimiter).option("escape", '"')
+    reader = spark.read.option("header", True).option("sep", delimiter).option("escape", '"').option("multiLine", multi_line)
     df = reader.schema(schema).csv(path) if schema is not None else reader.option("inferSchema", False).csv(path)
     listed = list(missing)
     return df.select(*[

@@ -78,3 +78,9 @@ def test_cleaning_a_stream(spark, csv, tmp_path):
         availableNow=True).start(str(tmp_path / "o"))
     query.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "o")).count() == 95
+
+
+def test_line_breaks_inside_quotes(spark, tmp_path):
+    (tmp_path / "breaks.csv").write_text('a,b\n1,"two\nlines"\n3,"x ""y"""\n')
+    rows = files.read_delimited(spark, str(tmp_path / "breaks.csv"), multi_line=True).collect()
+    assert [tuple(r) for r in rows] == [("1", "two\nlines"), ("3", 'x "y"')]
