@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from sparkrisk.catalog.tables import MIXED, mixed, rounded
+from sparkrisk.catalog.tables import MIXED, load, mixed, rounded
 from sparkrisk.operators.encode import TableEncoder
 from sparkrisk.plans.features import prepare_features, preprocess
 from sparkrisk.spec import FeatureSpec
@@ -28,6 +28,14 @@ def ordinal_encode(spark, folder):
     return TableEncoder(ordinal=["line", "tax"]).fit(df).transform(df)
 
 
+def encode_keys(spark, folder):
+    """Codes of order and part keys, which have far more categories than a plan can hold; sparse vectors as text."""
+    df = load(spark, folder, "lineitem").select("l_linenumber", F.col("l_orderkey").alias("line_order"), "l_orderkey", "l_partkey", F.col("l_partkey").alias("line_part"))
+    made = TableEncoder(nominal=["l_partkey"], ordinal=["l_orderkey"], literalCategories=100).fit(df).transform(df)
+    vector = F.get_json_object(F.to_json(F.struct("l_partkey")), "$.l_partkey")
+    return made.select("line_order", "l_linenumber", "line_part", "l_orderkey", vector.alias("l_partkey"))
+
+
 def fit_train_apply_test(spark, folder):
     """Statistics from odd orders; even orders are test rows with unseen values."""
     df = mixed(spark, folder)
@@ -40,6 +48,7 @@ QUERIES = {
     "minmax_scale": minmax_scale,
     "one_hot": one_hot,
     "ordinal_encode": ordinal_encode,
+    "encode_keys": encode_keys,
     "encode_all": lambda s, d: rounded(preprocess(mixed(s, d), SPEC)),
     "fit_train_apply_test": fit_train_apply_test,
 }
@@ -104,6 +113,13 @@ SQL = {
       SELECT COALESCE(rl.r, -1.0) AS line, COALESCE(rt.r, -1.0) AS tax, l_orderkey FROM mixed s
       LEFT JOIN rank_line rl ON COALESCE(s.line, {_mode('line', 'mixed')}) = rl.v
       LEFT JOIN rank_tax rt ON COALESCE(s.tax, {_mode('tax', 'mixed')}) = rt.v""",
+    "encode_keys": """WITH orders_ranked AS (SELECT l_orderkey AS k, CAST(ROW_NUMBER() OVER (ORDER BY l_orderkey) - 1 AS DOUBLE) AS r
+        FROM (SELECT DISTINCT l_orderkey FROM lineitem)),
+      parts_ranked AS (SELECT l_partkey AS k, ROW_NUMBER() OVER (ORDER BY l_partkey) - 1 AS r FROM (SELECT DISTINCT l_partkey FROM lineitem))
+      SELECT l.l_orderkey AS line_order, l_linenumber, l_partkey AS line_part, o.r AS l_orderkey,
+        '{"type":0,"size":' || (SELECT COUNT(*) - 1 FROM parts_ranked) ||
+        CASE WHEN p.r = 0 THEN ',"indices":[],"values":[]}' ELSE ',"indices":[' || (p.r - 1) || '],"values":[1.0]}' END AS l_partkey
+      FROM lineitem l JOIN orders_ranked o ON l.l_orderkey = o.k JOIN parts_ranked p ON l.l_partkey = p.k""",
     "encode_all": f"WITH {MIXED}, {_ranks('line', 'mixed')}, {_ranks('tax', 'mixed')} {_encoded('mixed', 'mixed')}",
     "fit_train_apply_test": f"""WITH {MIXED}, tr AS (SELECT * FROM mixed WHERE l_orderkey % 2 = 1),
       te AS (SELECT * FROM mixed WHERE l_orderkey % 2 = 0),

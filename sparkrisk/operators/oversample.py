@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from sparkrisk.functions import column_type, ident, order_key, uniform
 from sparkrisk.operators.cutoffs import keys_at_ranks
-from sparkrisk.operators.neighbours import nearest, vector
+from sparkrisk.operators.encode import as_columns, dense_cells, widths
+from sparkrisk.operators.neighbours import nearest
 from sparkrisk.session import materialize
 from sparkrisk.spec import BORDERLINE_NEIGHBOURS, SEED, SMOTE_NEIGHBOURS
 
@@ -26,7 +27,7 @@ Resampler = Callable[[DataFrame, Sequence[str], str, str], DataFrame]
 
 def _keyed(df: DataFrame, features: Sequence[str], target: str, key: str) -> DataFrame:
     return df.select(F.lit(0).alias("grp"), ident(key).alias("key"), ident(target).cast("string").alias("label"),
-                     vector(features).alias("vec"))
+                     dense_cells(df, features).alias("vec"))
 
 
 def _synthesise(starts: DataFrame, seeds: DataFrame, need: dict[int, int], seed: int, n_seeds: dict[int, int]) -> DataFrame:
@@ -61,15 +62,11 @@ def _synthesise(starts: DataFrame, seeds: DataFrame, need: dict[int, int], seed:
 
 def _append(df: DataFrame, made: Sequence[tuple[str, DataFrame]], features, target, key) -> DataFrame:
     dtype = column_type(df, target)
-    out = df.select(
-        ident(key), *[ident(c).cast("double").alias(c) for c in features], ident(target),
-        F.lit(0).alias("copy"),
-    )
+    given = [ident(c) if n > 1 else ident(c).cast("double").alias(c) for c, n in zip(features, widths(df, features))]
+    out = df.select(ident(key), *given, ident(target), F.lit(0).alias("copy"))
     for label, rows in made:
         out = out.unionByName(rows.select(
-            F.col("key").alias(key), *[F.col("vec")[j].alias(c) for j, c in enumerate(features)],
-            F.lit(label).cast(dtype).alias(target), "copy",
-        ))
+            F.col("key").alias(key), *as_columns(F.col("vec"), df, features), F.lit(label).cast(dtype).alias(target), "copy"))
     return out
 
 

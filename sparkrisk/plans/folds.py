@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparkrisk.functions import ident
-from sparkrisk.operators.encode import TableEncoder, TableEncoderModel
+from sparkrisk.operators.encode import TableEncoder, TableEncoderModel, dense_cells, widths
 from sparkrisk.operators.impute import IllegalToMode, IllegalToModeModel
 from sparkrisk.operators.models import FEATURES, LABEL, ScoreColumns, get_model
 from sparkrisk.operators.oversample import GROUPED
@@ -104,27 +104,24 @@ def fit_together(preprocessor: Pipeline, df: DataFrame, masks: Mapping[int, Colu
     return out
 
 
-def complete(vec: Column) -> Column:
-    """The array; a missing value in it is an error, as models and distances need all of them."""
-    return F.when(F.exists(vec, F.isnull), F.raise_error(F.lit("missing value in a feature")).cast("array<double>")).otherwise(vec)
-
-
 def encode_together(df: DataFrame, prepared: Mapping[int, PipelineModel], masks: Mapping[int, Column], key: str, target: str) -> tuple[DataFrame, dict[int, int]]:
     """``(grp, learns, key, label, y, vec)`` of every fit and row as a written table, and the length of each fit's vectors.
 
     Shorter vectors end in zeros, which change no distance.
     """
     names = {g: model.stages[-1].feature_names for g, model in prepared.items()}
-    longest = max(len(n) for n in names.values())
+    marks = {g: {"__learns": masks[g], "__key": ident(key), "__y": ident(target)} for g in prepared}
+    encoded = {g: model.transform(df.withColumns(marks[g])) for g, model in prepared.items()}
+    lengths = {g: sum(widths(encoded[g], names[g])) for g in prepared}
+    longest = max(lengths.values())
     union = None
-    for g, model in prepared.items():
-        marked = df.withColumns({"__learns": masks[g], "__key": ident(key), "__y": ident(target)})
-        vec = complete(F.concat(F.array(*map(ident, names[g])), F.array_repeat(F.lit(0.0), longest - len(names[g]))))
-        rows = model.transform(marked).select(
+    for g in prepared:
+        vec = F.concat(dense_cells(encoded[g], names[g]), F.array_repeat(F.lit(0.0), longest - lengths[g]))
+        rows = encoded[g].select(
             F.lit(g).alias("grp"), F.col("__learns").alias("learns"), F.col("__key").alias("key"),
             F.col("__y").cast("string").alias("label"), F.col("__y").cast("double").alias("y"), vec.alias("vec"))
         union = rows if union is None else union.unionByName(rows)
-    return materialize(union, "fold-rows", by=("grp",)), {g: len(n) for g, n in names.items()}
+    return materialize(union, "fold-rows", by=("grp",)), lengths
 
 
 def scores_together(

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from sparkrisk.functions import ident
 from sparkrisk.operators import metrics
+from sparkrisk.operators.encode import widths
 from sparkrisk.operators.models import FEATURES, LABEL, ScoreColumns, get_model, model_entry
 from sparkrisk.operators.oversample import get_sampler
 from sparkrisk.operators.sample import repeated_folds
@@ -68,7 +69,7 @@ class TrainingPipeline(Estimator):
             FEATURES, ident(self.spec.target).cast("double").alias(LABEL)
         ).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            fitted = get_model(self.model, ready.count(), len(names)).fit(ready)
+            fitted = get_model(self.model, ready.count(), sum(widths(encoded, names))).fit(ready)
         finally:
             ready.unpersist()
         return PipelineModel([prepared, assembler, fitted, ScoreColumns()])

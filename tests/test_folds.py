@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkrisk.operators.sample import repeated_folds
+from sparkrisk.operators.encode import dense_cells
 from sparkrisk.plans import folds, train
 from sparkrisk.plans.features import feature_pipeline
 from sparkrisk.session import materialize
@@ -64,5 +65,6 @@ def test_cross_validation_with_resampling(dirty, mixed_spec):
 
 
 def test_a_missing_feature_is_an_error(spark):
-    with pytest.raises(Exception, match="missing value in a feature"):
-        spark.createDataFrame([(1.0, None)], "a double, b double").select(folds.complete(F.array("a", "b"))).collect()
+    rows = spark.createDataFrame([(1.0, None)], "a double, b double")
+    with pytest.raises(Exception, match="missing value in 'b'"):
+        rows.select(dense_cells(rows, ["a", "b"])).collect()
