@@ -24,6 +24,8 @@ SPACE = "▁"
 #: Encoded words and pairs of pieces that a Python process remembers before it starts anew.
 WORD_MEMORY = 600_000
 PAIR_MEMORY = 400_000
+#: Longer words are encoded each time, so that what is remembered has a size.
+WORD_LENGTH = 64
 _PARTS = re.compile(r" *[^ \n]+| +|\n")
 _PROBES = ("a", " a  b ", "\n\n x\ty", "Hello,  world!　① ﬁ", "     \n", "▁a <s> </s> <0x0A>")
 
@@ -125,19 +127,19 @@ class Codec:
         for end, (size, i) in self.automaton.iter(text):
             start = end - size + 1
             longest[start] = i  # longer ones end later
-        open_ = (1 << (n + 1)) - 1  # a bit for each place from which the rest may still be encoded
+        failed = bytearray((n >> 3) + 1)  # a bit for each place from which the rest cannot be encoded
         taken: list[int] = []
         at, token = 0, longest[0] if n else None
         while at < n:
             end = at + self.length[token]
-            if open_ >> end & 1 and (self._agree(taken[-1], token) if taken else self._first(token)):
+            if not failed[end >> 3] >> (end & 7) & 1 and (self._agree(taken[-1], token) if taken else self._first(token)):
                 taken.append(token)
                 at = end
                 token = longest[at] if at < n else None
             elif (less := self.shorter[token]) is not None:
                 token = less
             else:
-                open_ &= ~(1 << at)
+                failed[at >> 3] |= 1 << (at & 7)
                 token = taken.pop()
                 at -= self.length[token]
         return taken
@@ -160,10 +162,12 @@ class Codec:
         """
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= WORD_MEMORY:
-                self.words.clear()
             ids = self._chunk(word if word[:1] == "\n" else SPACE + word)
-            found = self.words[word] = (len(ids), ",".join(map(str, ids)), self._bytes(ids))
+            found = len(ids), ",".join(map(str, ids)), self._bytes(ids)
+            if len(word) <= WORD_LENGTH:
+                if len(self.words) >= WORD_MEMORY:
+                    self.words.clear()
+                self.words[word] = found
         return found
 
     def _run(self, n: int) -> list[int]:
