@@ -6,7 +6,7 @@ import hashlib
 from collections import OrderedDict
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -149,7 +149,10 @@ def _fits(n: Column, m: Column, percent: int) -> Column:
 
 
 def _labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """doc_id, text_hash, n, component_id of every row.
+    """doc_id, text_hash, n, component_id and chosen of every row.
+
+    chosen says whether id and text are those that stand for the row's component: the least id, missing ones last, and
+    of its texts the one of least hash. It is missing where the set is empty.
 
     Rows with equal sets are one class, so copies cost no links. In each band the classes with equal
     registers are compared with the bucket's least and greatest class; what these links join is one
@@ -162,7 +165,7 @@ def _labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> D
     full = marked.where("cls IS NOT NULL")
     classes = materialize(full.groupBy("cls").agg(
         F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("odd").alias("odd"),
-        F.min("doc_id").alias("least"), F.min(F.struct("doc_id", "text_hash")).alias("copy")), "classes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("copy")), "classes")
     width = 2 * ROWS
     buckets = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // ROWS - 1)), lambda k: F.xxhash64(
         k, F.substring(F.col("sketch"), k * width + 1, F.lit(width))))
@@ -208,11 +211,13 @@ def _labelled(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> D
     more = confirmed(across)
 
     roots = components(links.union(more)).withColumnRenamed("node", "cls")
-    rooted = classes.select("cls", "least").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
-    smallest = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_class = materialize(rooted.join(smallest, "root").select("cls", "component_id"), "components")
+    rooted = classes.select("cls", "copy").join(roots, "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    smallest = rooted.groupBy("root").agg(F.min("copy").alias("best"))
+    of_class = materialize(rooted.join(smallest, "root").select("cls", "best"), "components")
+    chosen = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))
     return marked.select("doc_id", "text_hash", "n", "cls").join(of_class, "cls", "left").select(
-        "doc_id", "text_hash", "n", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+        "doc_id", "text_hash", "n", F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("component_id"),
+        F.when(F.col("cls").isNotNull(), chosen).alias("chosen"))
 
 
 def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -229,13 +234,20 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT
 
 
 def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One row of each group of near-duplicates, with all its columns; of repeated rows the first in any order."""
-    labels = materialize(_labelled(docs, size, percent).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash"), "kept")
+    """One row of each group of near-duplicates, with all its columns.
+
+    It has the least doc_id of the group, missing ones come last; of equal ids the text of least hash, of repeated rows any one.
+    Rows without text or words are linked with nothing, so all of them stay, repeated or not. An empty table gives none.
+    """
+    labels = materialize(_labelled(docs, size, percent).where("chosen").select("doc_id", "text_hash"), "kept")
     rows, distinct = labels.count(), labels.distinct().count()
-    hashed = F.xxhash64(F.col("text"))
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), hashed.alias("own_hash"))
-    kept = own.join(labels, F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_hash").eqNullSafe(F.col("text_hash")), "left_semi")
-    if rows > distinct:
-        first = Window.partitionBy("own_id", "own_hash").orderBy("own_hash")
-        kept = kept.withColumn("turn", F.row_number().over(first)).where("turn = 1")
+    wordless = ~F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    own = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"),
+        F.xxhash64("text").alias("own_hash"), wordless.alias("wordless"))
+    same = F.col("own_id").eqNullSafe(F.col("doc_id")) & (F.col("own_hash") == F.col("text_hash"))
+    kept = own.join(labels.distinct(), same, "left").where(F.col("wordless") | F.col("text_hash").isNotNull())
+    if rows > distinct:  # equal rows meet before the shuffle
+        each = F.when(F.col("wordless"), F.monotonically_increasing_id()).alias("each")
+        kept = kept.groupBy("own_id", "own_hash", each).agg(F.first("row").alias("row"))
     return kept.select("row.*")

@@ -35,6 +35,22 @@ def test_repeated_rows_and_missing_ids(spark):
     assert len(language_models.score(docs, docs.select("doc_id")).collect()) == 6
 
 
+def test_one_row_of_each_group_stays(spark):
+    near = "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3
+    docs = table(spark, [
+        (None, near + "one", "s"), (None, near + "two", "s"), (None, near + "three", "s"),
+        (5, "other words that stand alone here in this place", "s"), (5, "other words that stand alone here in this place", "t"),
+        (7, "q w e r t y u i o p " * 3 + "z", "s"), (7, "q w e r t y u i o p " * 3 + "x", "s"), (None, "q w e r t y u i o p " * 3 + "v", "s"),
+        (8, " \t", "s"), (8, " \t", "s"), (None, None, None)])
+    kept = near_duplicates.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == ["5", "7", "8", "8", "None", "None"]
+    assert kept.where("text IS NOT NULL AND doc_id IS NULL").count() == 1
+    clashing = docs.withColumns({"text_hash": F.lit(1), "row": F.lit("r"), "best": F.lit(2)})
+    assert sorted(near_duplicates.keep_one(clashing).columns) == sorted(clashing.columns)
+    assert near_duplicates.keep_one(docs.limit(0)).count() == 0
+
+
 def test_grams_tell_windows_apart():
     (_, words), = hashed_words(["a b c a b c a"])
     for n in range(1, 8):
