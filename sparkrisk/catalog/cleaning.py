@@ -1,5 +1,7 @@
 """Sources, profiling and cleaning."""
 
+from pyspark.sql import functions as F
+
 from sparkrisk.catalog.tables import RAW, load, raw, rounded
 from sparkrisk.operators import clean, profile
 from sparkrisk.plans.prepare import load_and_prepare
@@ -21,6 +23,17 @@ def prepare_job(spark, folder):
     return rounded(load_and_prepare(spark, _raw_csv(spark, folder), key="event_id"))
 
 
+def prepare_job_keyless(spark, folder):
+    """A file without a key, a third of whose rows are equal."""
+    one = F.col("event_id") % 3 == 0
+    rows = raw(spark, folder).select(
+        F.when(one, "1.5").otherwise(F.col("reading")).alias("reading"), F.when(one, "7").otherwise(F.col("visitor")).alias("visitor"),
+        F.when(one, "0").otherwise(F.col("kredit")).alias("kredit"), "mixed_type_col")
+    path = scratch_path(spark, "keyless-csv")
+    write_delimited(rows, path)
+    return rounded(load_and_prepare(spark, path))
+
+
 def shape_before_after(spark, folder):
     before = raw(spark, folder)
     return profile.table_shape(before, "before").unionByName(profile.table_shape(clean.clean(before), "after"))
@@ -35,6 +48,7 @@ def separated(spark, folder):
 QUERIES = {
     "csv_scan_strings": csv_scan_strings,
     "prepare_job": prepare_job,
+    "prepare_job_keyless": prepare_job_keyless,
     "profile": lambda s, d: profile.table_profile(raw(s, d)),
     "preview": lambda s, d: profile.preview(load(s, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), "o_orderkey"),
     "value_counts": lambda s, d: profile.value_counts(load(s, d, "events"), "event_type"),
@@ -88,6 +102,27 @@ SQL = {
       SELECT r.event_id, r.reading, r.visitor, r.kredit,
              CASE WHEN r.place <= d.n_test THEN 'test' ELSE 'train' END AS split
       FROM ranked r JOIN dealt d ON r.kredit = d.kredit""",
+    "prepare_job_keyless": f"""WITH {RAW}, given AS (
+        SELECT CASE WHEN event_id % 3 = 0 THEN '1.5' ELSE reading END AS reading,
+               CASE WHEN event_id % 3 = 0 THEN '7' ELSE visitor END AS visitor,
+               CASE WHEN event_id % 3 = 0 THEN '0' ELSE kredit END AS kredit FROM raw),
+      kept AS (SELECT TRY_CAST(reading AS DOUBLE) AS reading, TRY_CAST(visitor AS DOUBLE) AS visitor,
+                      CAST(TRY_CAST(kredit AS DOUBLE) AS INTEGER) AS kredit
+               FROM given WHERE TRY_CAST(kredit AS DOUBLE) IN (0, 1)),
+      digests AS (SELECT *, md5('{{' || concat_ws(',', '"c0":"' || reading || '"', '"c1":"' || visitor || '"', '"c2":"' || kredit || '"') || '}}') AS digest
+                  FROM kept),
+      keyed AS (SELECT reading, visitor, kredit,
+                       digest || '-' || ROW_NUMBER() OVER (PARTITION BY digest) AS row_id FROM digests),
+      classes AS (SELECT kredit, COUNT(*) AS n FROM kept GROUP BY kredit),
+      sizes AS (SELECT CAST(SUM(n) AS BIGINT) AS total,
+                       CAST(SUM(n) AS BIGINT) - CAST(CEIL(ROUND(0.3 * SUM(n), 6)) AS BIGINT) AS n_train FROM classes),
+      base AS (SELECT kredit, n, n * n_train // total AS low, n * n_train % total AS rest, n_train FROM classes, sizes),
+      dealt AS (SELECT kredit, n - low - CASE WHEN ROW_NUMBER() OVER (ORDER BY rest DESC, kredit)
+                       <= n_train - SUM(low) OVER () THEN 1 ELSE 0 END AS n_test FROM base),
+      ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY kredit ORDER BY md5('42|' || row_id)) AS place FROM keyed)
+      SELECT ROUND(r.reading, 6) AS reading, r.visitor, r.kredit, r.row_id,
+             CASE WHEN r.place <= d.n_test THEN 'test' ELSE 'train' END AS split
+      FROM ranked r JOIN dealt d ON r.kredit = d.kredit""",
     "profile": f"WITH {RAW} " + " UNION ALL ".join([
         _profile_row("event_id", "bigint"), _profile_row("reading", "string"), _profile_row("visitor", "string"),
         _profile_row("kredit", "string"), _profile_row("mixed_type_col", "string")]),

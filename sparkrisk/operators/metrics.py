@@ -1,9 +1,9 @@
 """Classification metrics and curves.
 
 Curves need running sums over all distinct scores. Rows are first added up per
-score, scores are put into ordered buckets at quantile cuts, running sums are
-taken inside each bucket, and the totals of the buckets above (one short row per
-bucket) are added. No window ever covers the whole table.
+score and written in falling order; running sums are taken inside blocks of that
+table, and the totals of the blocks and parts above are added. No window ever
+covers the whole table, and one such table serves every curve.
 """
 
 from __future__ import annotations
@@ -11,18 +11,14 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkrisk.functions import ident
+from sparkrisk.operators.prefixes import BLOCK_BITS, running_sums, written
 from sparkrisk.operators.profile import value_counts
-from sparkrisk.operators.stats import approximate_quantiles
 from sparkrisk.spec import CLASS_LABELS, METRICS
 
-_SCORES_PER_BUCKET = 250_000
-_MAX_BUCKETS = 10_000
-
 
 def _hits(truth: Column, predicted: Column) -> dict[str, Column]:
     return {
@@ -63,91 +59,34 @@ def class_metrics(
     return confusion(df, truth, predicted, by, extra).withColumns(_ratios())
 
 
-def score_buckets(df: DataFrame, score: str) -> list[float]:
-    """Cut points that put at most about ``_SCORES_PER_BUCKET`` rows between two of them."""
-    n = df.agg(F.count(ident(score))).first()[0]
-    buckets = min(_MAX_BUCKETS, math.ceil(n / _SCORES_PER_BUCKET))
-    if buckets <= 1:
-        return []
-    shares = [i / buckets for i in range(1, buckets)]
-    narrow = df.select(ident(score).cast("double").alias("score"))
-    return sorted(set(approximate_quantiles(narrow, "score", shares)))
-
-
 def score_steps(
-    df: DataFrame, truth: str = "y_true", score: str = "y_proba",
-    by: Sequence[str] = (), cuts: Sequence[float] | None = None,
+    df: DataFrame, truth: str = "y_true", score: str = "y_proba", by: Sequence[str] = (), block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """One row per distinct score: ``score, pos, neg`` at it, ``tp, fp`` at or above it,
-    class totals ``P, N``, and whether the next lower score has the same counts."""
+    class totals ``P, N``, and whether the next lower score has the same counts.
+
+    The scores are read once and their counts are written; the result may feed several curves.
+    """
     by = list(by)
     scored = df.select(
         *[ident(c) for c in by], ident(score).cast("double").alias("score"), ident(truth).alias("y")
     ).where(F.col("score").isNotNull() & F.col("y").isNotNull())
-    cuts = score_buckets(scored, "score") if cuts is None else sorted(set(cuts))
-    steps = _bucketed_steps(scored, by, cuts) if cuts else _plain_steps(scored, by)
-    return (
-        steps.withColumn("repeats_next", F.coalesce(F.col("following") == F.struct("pos", "neg"), F.lit(False)))
-        .withColumn("is_last", F.col("following").isNull())
-        .drop("following")
-    )
-
-
-def _per_score(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return scored.groupBy(*keys, "score").agg(
-        F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg")
-    )
-
-
-def _plain_steps(scored: DataFrame, by: list[str]) -> DataFrame:
-    """For tables known to fit one bucket."""
-    down = Window.partitionBy(*by).orderBy(F.desc("score"))
-    upto = down.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*by)
-    return _per_score(scored, by).select(
-        *by, "score", "pos", "neg", F.sum("pos").over(whole).alias("P"), F.sum("neg").over(whole).alias("N"),
-        F.sum("pos").over(upto).alias("tp"), F.sum("neg").over(upto).alias("fp"),
-        F.lead(F.struct("pos", "neg")).over(down).alias("following"),
-    )
-
-
-def _bucketed_steps(scored: DataFrame, by: list[str], cuts: Sequence[float]) -> DataFrame:
-    edges = [-math.inf, *cuts, math.inf]
-    placed = Bucketizer(splits=edges, inputCol="score", outputCol="bucket", handleInvalid="keep").transform(scored)
-    counts = _per_score(placed, [*by, "bucket"])
-    # One row per bucket (at most _MAX_BUCKETS per group): totals above, and the
-    # counts at the bucket's highest score for the bucket above to look at.
-    down = Window.partitionBy(*by).orderBy(F.desc("bucket"))
-    whole = Window.partitionBy(*by)
-    totals = (
-        counts.groupBy(*by, "bucket")
-        .agg(F.sum("pos").alias("b_pos"), F.sum("neg").alias("b_neg"),
-             F.max_by(F.struct("pos", "neg"), "score").alias("top"))
-        .select(
-            *by, "bucket",
-            (F.sum("b_pos").over(down) - F.col("b_pos")).alias("pos_above"),
-            (F.sum("b_neg").over(down) - F.col("b_neg")).alias("neg_above"),
-            F.sum("b_pos").over(whole).alias("P"), F.sum("b_neg").over(whole).alias("N"),
-            F.lead("top").over(down).alias("next_bucket"),
-        )
-    )
-    inside = Window.partitionBy(*by, "bucket").orderBy(F.desc("score"))
-    upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    # The optimizer broadcasts the short table of totals where it is small enough.
-    return counts.join(totals, [*by, "bucket"]).select(
-        *by, "score", "pos", "neg", "P", "N",
-        (F.col("pos_above") + F.sum("pos").over(upto)).alias("tp"),
-        (F.col("neg_above") + F.sum("neg").over(upto)).alias("fp"),
-        F.coalesce(F.lead(F.struct("pos", "neg")).over(inside), F.col("next_bucket")).alias("following"),
-    )
+    counts = scored.groupBy(*[ident(c) for c in by], "score").agg(
+        F.count_if(F.col("y") == 1).alias("pos"), F.count_if(F.col("y") == 0).alias("neg"))
+    falling = written(counts, "scores", [*[ident(c) for c in by], F.desc("score")])
+    return running_sums(falling, by, ["pos", "neg"], block_bits).select(
+        *[ident(c) for c in by], "score", "pos", "neg", F.col("pos_all").alias("P"), F.col("neg_all").alias("N"),
+        (F.col("pos_before") + F.col("pos")).alias("tp"), (F.col("neg_before") + F.col("neg")).alias("fp"),
+        F.coalesce(F.col("following") == F.struct("pos", "neg"), F.lit(False)).alias("repeats_next"),
+        F.col("following").isNull().alias("is_last"))
 
 
 def rank_metrics(
     df: DataFrame, truth: str = "y_true", score: str = "y_proba",
-    by: Sequence[str] = (), cuts: Sequence[float] | None = None,
+    by: Sequence[str] = (), block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """``roc_auc`` (ties count half) and ``average_precision``; NULL with one class only."""
-    steps = score_steps(df, truth, score, by, cuts)
+    steps = score_steps(df, truth, score, by, block_bits)
     pos, neg, pos_here = (F.col(c).cast("double") for c in ("P", "N", "pos"))
     outranked = pos_here * ((F.col("N") - F.col("fp")) + 0.5 * F.col("neg"))
     precision = pos_here * F.col("tp") / (F.col("tp") + F.col("fp"))
@@ -201,14 +140,17 @@ def confusion_table(
 
 
 def roc_points(
-    df: DataFrame, truth: str = "y_true", score: str = "y_proba", drop_collinear: bool = True,
-    cuts: Sequence[float] | None = None,
+    df: DataFrame, truth: str = "y_true", score: str = "y_proba", drop_collinear: bool = True, block_bits: int = BLOCK_BITS,
 ) -> DataFrame:
     """``(fpr, tpr, threshold)`` per distinct score, starting at (0, 0, infinity).
 
     A point between two equal steps lies on their line and is left out on demand.
     """
-    steps = score_steps(df, truth, score, cuts=cuts)
+    return roc_of_steps(score_steps(df, truth, score, block_bits=block_bits), drop_collinear)
+
+
+def roc_of_steps(steps: DataFrame, drop_collinear: bool = True) -> DataFrame:
+    """The points of :func:`roc_points` from a table of :func:`score_steps`."""
     if drop_collinear:
         # The point of the highest score is always kept: it has no step before it
         # to be collinear with.
@@ -216,23 +158,27 @@ def roc_points(
     points = steps.select(
         F.try_divide("fp", "N").alias("fpr"), F.try_divide("tp", "P").alias("tpr"), F.col("score").alias("threshold")
     )
-    start = df.sparkSession.range(1).select(
+    start = steps.sparkSession.range(1).select(
         F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"), F.lit(math.inf).alias("threshold")
     )
     return points.unionByName(start)
 
 
 def precision_recall_points(
-    df: DataFrame, truth: str = "y_true", score: str = "y_proba", cuts: Sequence[float] | None = None
+    df: DataFrame, truth: str = "y_true", score: str = "y_proba", block_bits: int = BLOCK_BITS
 ) -> DataFrame:
     """``(precision, recall, threshold)`` per distinct score, ending at (1, 0)."""
-    steps = score_steps(df, truth, score, cuts=cuts)
+    return precision_recall_of_steps(score_steps(df, truth, score, block_bits=block_bits))
+
+
+def precision_recall_of_steps(steps: DataFrame) -> DataFrame:
+    """The points of :func:`precision_recall_points` from a table of :func:`score_steps`."""
     points = steps.select(
         F.try_divide(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         F.coalesce(F.try_divide("tp", "P"), F.lit(1.0)).alias("recall"),
         F.col("score").alias("threshold"),
     )
-    end = df.sparkSession.range(1).select(
+    end = steps.sparkSession.range(1).select(
         F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), F.lit(None).cast("double").alias("threshold")
     )
     return points.unionByName(end)

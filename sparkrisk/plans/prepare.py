@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkrisk.functions import ident
 from sparkrisk.operators.clean import clean
+from sparkrisk.operators.prefixes import BLOCK_BITS, running_sums, written
 from sparkrisk.operators.sample import holdout_split
 from sparkrisk.sources.files import read_delimited, write_split_table, write_table
 from sparkrisk.spec import MIXED, SEED, TARGET, TEST_SHARE
@@ -14,15 +15,17 @@ from sparkrisk.spec import MIXED, SEED, TARGET, TEST_SHARE
 ROW_ID = "row_id"
 
 
-def with_row_id(df: DataFrame, name: str = ROW_ID) -> DataFrame:
+def with_row_id(df: DataFrame, name: str = ROW_ID, block_bits: int = BLOCK_BITS) -> DataFrame:
     """Adds a unique text key: the digest of the row and a running number among equal rows.
 
-    It depends on the rows alone, not on files, partitions or the order of reading.
+    It depends on the rows alone, not on files, partitions or the order of reading. Equal rows, however many, are
+    numbered block by block of the written table.
     """
     cells = F.to_json(F.struct(*[ident(c).cast("string").alias(f"c{k}") for k, c in enumerate(df.columns)]))
-    digest = df.withColumn(name, F.md5(cells.cast("binary")))
-    equal = Window.partitionBy(name).orderBy(name)
-    return digest.withColumn(name, F.concat_ws("-", name, F.row_number().over(equal).cast("string")))
+    rows = written(df.withColumns({name: F.md5(cells.cast("binary")), "__one": F.lit(1)}), "keyless")
+    numbered = running_sums(rows, [name], ["__one"], block_bits)
+    key = F.concat_ws("-", ident(name), (F.col("__one_before") + 1).cast("string"))
+    return numbered.select(*[ident(c) for c in df.columns], key.alias(name))
 
 
 def load_and_prepare(

@@ -80,9 +80,10 @@ def score_job(
 def report_bundle(scored: DataFrame, truth: str = "y_true", labels=CLASS_LABELS) -> dict[str, DataFrame]:
     """Confusion table, ROC points, precision-recall points and class distribution."""
     table = scored.select(ident(truth).alias("y_true"), "y_pred", "y_proba")
+    steps = metrics.score_steps(table)  # one for both curves
     return {
         "confusion": metrics.confusion_table(table, labels=labels),
-        "roc": metrics.roc_points(table),
-        "precision_recall": metrics.precision_recall_points(table),
+        "roc": metrics.roc_of_steps(steps),
+        "precision_recall": metrics.precision_recall_of_steps(steps),
         "classes": metrics.class_distribution(table, "y_true", dict(enumerate(labels))),
     }

@@ -37,19 +37,32 @@ def table(spark, scores):
     return spark.createDataFrame(scores).repartition(3)
 
 
-@pytest.mark.parametrize("cuts", [[], [0.5], [0.1, 0.35, 0.36, 0.9], [0.5, 0.5, 2.0]])
-def test_rank_metrics_do_not_depend_on_buckets(table, scores, cuts):
-    got = metrics.rank_metrics(table, cuts=cuts).first()
+@pytest.mark.parametrize("bits", [0, 1, 3, 16])
+def test_rank_metrics_do_not_depend_on_blocks(table, scores, bits):
+    got = metrics.rank_metrics(table, block_bits=bits).first()
     y, p = scores.y_true.to_numpy(), scores.y_proba.to_numpy()
     assert got["roc_auc"] == pytest.approx(reference_auc(y, p), rel=1e-12)
     assert got["average_precision"] == pytest.approx(reference_ap(y, p), rel=1e-12)
 
 
-def test_cut_points_come_from_the_data(table, monkeypatch):
-    monkeypatch.setattr(metrics, "_SCORES_PER_BUCKET", 50)
-    cuts = metrics.score_buckets(table, "y_proba")
-    assert 3 <= len(cuts) <= 7
-    assert metrics.rank_metrics(table).first() == pytest.approx(metrics.rank_metrics(table, cuts=[]).first())
+def test_groups_have_running_sums_of_their_own(spark, scores):
+    """Also a missing group, and NaN as the highest score."""
+    rows = [(None if k % 3 == 0 else f"g{k % 3}", int(y), math.nan if k == 7 else float(p)) for k, (y, p) in enumerate(zip(scores.y_true, scores.y_proba))]
+    df = spark.createDataFrame(rows, "g string, y_true int, y_proba double").repartition(5)
+    for bits in (0, 2, 16):
+        got = {r["g"]: r for r in metrics.rank_metrics(df, by=["g"], block_bits=bits).collect()}
+        assert set(got) == {None, "g1", "g2"}
+        for g, r in got.items():
+            y = np.array([b for a, b, _ in rows if a == g])
+            p = np.array([2.0 if math.isnan(c) else c for a, _, c in rows if a == g])
+            assert (r["roc_auc"], r["average_precision"]) == pytest.approx((reference_auc(y, p), reference_ap(y, p)))
+
+
+def test_one_table_of_steps_serves_both_curves(table):
+    steps = metrics.score_steps(table, block_bits=2)
+    assert sorted(metrics.roc_of_steps(steps).collect()) == sorted(metrics.roc_points(table).collect())
+    assert sorted(metrics.precision_recall_of_steps(steps).na.fill(-1.0).collect()) == sorted(metrics.precision_recall_points(table).na.fill(-1.0).collect())
+    assert metrics.score_steps(table.limit(0)).count() == 0
 
 
 def test_average_precision_is_not_interpolated(spark):
@@ -84,15 +97,15 @@ def test_metrics_without_probabilities(spark):
         "true_negatives": 1, "false_positives": 0, "false_negatives": 0, "true_positives": 1}
 
 
-@pytest.mark.parametrize("cuts", [[], [0.2, 0.5, 0.51, 0.8]])
-def test_roc_points(table, scores, cuts):
-    every = metrics.roc_points(table, drop_collinear=False, cuts=cuts).orderBy("threshold", ascending=False).collect()
+@pytest.mark.parametrize("bits", [0, 2, 16])
+def test_roc_points(table, scores, bits):
+    every = metrics.roc_points(table, drop_collinear=False, block_bits=bits).orderBy("threshold", ascending=False).collect()
     assert len(every) == scores.y_proba.nunique() + 1
     assert every[0][:2] == (0.0, 0.0) and math.isinf(every[0]["threshold"]) and every[-1][:2] == (1.0, 1.0)
     counts = scores.groupby("y_proba").y_true.agg(["sum", "count"]).sort_index(ascending=False)
     pairs = list(zip(counts["sum"], counts["count"]))
     kept = [i for i in range(len(pairs)) if i in (0, len(pairs) - 1) or pairs[i] != pairs[i + 1]]
-    assert metrics.roc_points(table, cuts=cuts).count() == len(kept) + 1
+    assert metrics.roc_points(table, block_bits=bits).count() == len(kept) + 1
 
 
 def test_precision_recall_points(table, scores):
