@@ -7,7 +7,7 @@ that are precise enough, hundredth by hundredth, on candidates that they have no
 are not. Accepted are only candidates that the base cannot judge and that overlap no base span.
 
 Positions are running sums in blocks of about the root of the number of matches, and overlaps are looked up in
-masks with a byte for each character, so a text with very many matches takes hardly more time for each.
+masks with a byte for each character. A look-up may copy its mask, so single texts of megabytes still take more than linear time.
 """
 
 from __future__ import annotations
