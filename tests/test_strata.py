@@ -52,3 +52,18 @@ def test_refusals(spark, monkeypatch):
         sample.holdout_split(twice, "id", "cls", 0.5).collect()
     with pytest.raises(ValueError, match="no class has"):
         sample.repeated_folds(spark.createDataFrame([(k, k) for k in range(9)], "id long, cls int"), "id", "cls", 3, 1)
+
+
+def test_tables_too_large_to_broadcast_are_not_broadcast(spark, monkeypatch):
+    """A written table of a few kilobytes, copies of which the planner would send to every task; frequent, missing and unseen keys."""
+    monkeypatch.setattr(strata, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(strata, "HOT_ROWS", 100)
+    ranks = materialize(spark.range(2_000).select(F.col("id").alias("v"), (F.col("id") * 3).alias("rank")), "few-ranks")
+    rows = spark.range(3_000).select("id", F.when(F.col("id") < 500, 7).when(F.col("id") < 1000, 5_000).when(F.col("id") < 1_500, None).otherwise(F.col("id")).alias("k"))
+    assert sorted(strata._frequent(rows, F.col("k"))) == [7, 5_000]
+    joined = strata.attach(rows, ranks, F.col("k"), "v")
+    assert joined.columns == ["id", "k", "rank"]
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+    want = {i: (7 if i < 500 else None if i < 1_500 or i >= 2_000 else i) for i in range(3_000)}
+    assert {r["id"]: r["rank"] for r in joined.collect()} == {i: None if k is None else 3 * k for i, k in want.items()}
