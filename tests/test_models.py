@@ -11,6 +11,7 @@ from sparkrisk.operators import explain, metrics
 from sparkrisk.operators.models import REGISTRY, FourierFeatures, get_model, register_model
 from sparkrisk.plans import score, train
 from sparkrisk.plans.features import feature_names
+from sparkrisk.session import learning_rows
 from sparkrisk.sources.files import predictions_table
 from sparkrisk.spec import METRICS_WITHOUT_AP
 from sparkrisk.streaming import score_stream, score_stream_in_batches
@@ -225,3 +226,14 @@ def test_predictions_table(spark):
     df = spark.createDataFrame([(1, 1, 0.7)], "target int, y_pred int, y_proba double")
     assert predictions_table(df, "target").columns == ["y_true", "y_pred", "y_proba"]
     assert predictions_table(df.drop("y_proba"), "target").columns == ["y_true", "y_pred"]
+
+
+def test_learners_get_a_part_for_each_core(spark):
+    """One file of one row group is one part; few rows stay as they are."""
+    one = spark.range(50_000).select(F.col("id").cast("double").alias("x")).coalesce(1)
+    with learning_rows(one) as (rows, n):
+        assert n == 50_000 and rows.rdd.getNumPartitions() == 3 and rows.storageLevel.useMemory
+        assert rows.agg(F.sum("x")).first()[0] == 50_000 * 49_999 / 2
+    assert not rows.is_cached and not one.is_cached
+    with learning_rows(one.limit(1_000)) as (rows, n):
+        assert n == 1_000 and rows.rdd.getNumPartitions() == 1
