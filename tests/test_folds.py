@@ -68,3 +68,16 @@ def test_a_missing_feature_is_an_error(spark):
     rows = spark.createDataFrame([(1.0, None)], "a double, b double")
     with pytest.raises(Exception, match="missing value in 'b'"):
         rows.select(dense_cells(rows, ["a", "b"])).collect()
+
+
+def test_separate_fits_read_written_folds(spark, mixed_table, mixed_spec):
+    """Fold numbers are computed once, not in every pass of every fit."""
+    read = []
+
+    def own(encoded, names, target, key):
+        read.append(encoded.inputFiles())
+        return encoded
+
+    pipeline = train.TrainingPipeline(key="row_id", spec=mixed_spec, sampler=own)
+    assert train.cross_validate(mixed_table, pipeline, 2, 1).count()
+    assert len(read) == 2 and all(files and all("fold-labels" in f for f in files) for files in read)
