@@ -235,5 +235,7 @@ def test_learners_get_a_part_for_each_core(spark):
         assert n == 50_000 and rows.rdd.getNumPartitions() == 3 and rows.storageLevel.useMemory
         assert rows.agg(F.sum("x")).first()[0] == 50_000 * 49_999 / 2
     assert not rows.is_cached and not one.is_cached
+    with learning_rows(one, at_once=spark.sparkContext.defaultParallelism) as (rows, n):
+        assert n == 50_000 and rows.rdd.getNumPartitions() == 1
     with learning_rows(one.limit(1_000)) as (rows, n):
         assert n == 1_000 and rows.rdd.getNumPartitions() == 1
