@@ -48,6 +48,39 @@ def test_widely_shared_vectors_are_joined_by_broadcast(spark, monkeypatch):
     assert "Union" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_right_vectors_are_dealt_once_and_few_left_ones_go_on(spark, monkeypatch):
+    """Cells grow in number with the rows, so that neither side is copied to all blocks of a crowded cell."""
+    monkeypatch.setattr(nb, "RIGHT_BLOCK", 200)
+    monkeypatch.setattr(nb, "FEW_CELLS", 1)
+    df = spark.createDataFrame(points(6000, 2, 7), "key long, label string, vec array<double>").withColumn("grp", F.lit(0))
+    folded = nb._numbered(nb._fold_equal_vectors(df, 4)).persist()
+    n = folded.count()
+    cells = nb._find_cells(folded, n, n)
+    counts = nb._counts(folded, cells, 1)
+    assert counts.sum() == n and counts.max() <= 400 and counts.shape[1] >= n / 200
+    many = -(-counts // nb.RIGHT_BLOCK)
+    blocks = nb._Blocks(cells, nb._homes(cells, counts, 4), np.cumsum(many, axis=1) - many, many)
+    parts = np.ones((1, many.sum()), np.int64)
+    assert blocks.dealt(folded, parts, False).count() == n
+    found = nb._searched_first(folded.withColumn("n_rows", F.lit(1)), folded, blocks, 4, nb._list_type(df, True))
+    visits = found.agg(F.count("id").alias("n"), F.sum(F.size("away")).alias("visits")).first()
+    assert visits["n"] == n and visits["visits"] < n
+
+
+def test_groups_with_few_and_without_right_rows(spark, monkeypatch):
+    monkeypatch.setattr(nb, "VECTORS_PER_CELL", 20)
+    frame = points(300, 2, 9)
+    parts = {0: frame, 1: frame.iloc[:4], 2: frame.iloc[:0]}
+    right = spark.createDataFrame(pd.concat([f.assign(grp=g) for g, f in parts.items()]), "key long, label string, vec array<double>, grp int")
+    left = spark.createDataFrame(pd.concat([frame.iloc[:40].assign(grp=g) for g in parts]), "key long, label string, vec array<double>, grp int")
+    got = {(r["grp"], r["key"]): r["neighbours"] for r in nb.nearest(left, right, 5, 3).collect()}
+    assert len(got) == 120
+    for g in (0, 1):
+        for key, near in brute_force(frame.iloc[:40], parts[g], 5).items():
+            assert [(n["d2"], n["key"]) for n in got[g, key]] == near
+    assert all(near is None for (g, _), near in got.items() if g == 2)
+
+
 def test_missing_feature_is_an_error(spark):
     df = spark.createDataFrame([(1, None), (2, 1.0)], "id int, x double")
     with pytest.raises(Exception, match="missing value"):
