@@ -159,30 +159,69 @@ def _nodes(players: int) -> tuple[np.ndarray, np.ndarray]:
     return (at + 1) / 2, weight / 2
 
 
-def _attributions(x: np.ndarray, games: Sequence) -> np.ndarray:
-    """Shapley values of the leaf games: a known feature passes or fails its tests, an
-    unknown one follows the leaf with the share of training rows that did.
+#: Features of a path up to which the values of all its outcomes are worked out once.
+_TABLED = 8
+
+
+def _shapley(passes: np.ndarray, share: np.ndarray, value: float) -> np.ndarray:
+    """Shapley values of one leaf game, a column for each feature, by the features' passed tests (a row for each feature).
 
     The sum over all sets of known features is the integral, over the chance t that a feature is known, of the product
     of the others' mean reach. Its polynomial has fewer degrees than there are features, so a few places give it
     exactly, and the work grows with the square of a path's features.
     """
-    out = np.zeros_like(x)
+    average = np.zeros_like(passes)
+    for t, weight in zip(*_nodes(len(passes))):
+        reach = passes * t + share * (1 - t)  # above zero, as shares are
+        average += weight * reach.prod(axis=0) / reach
+    return (value * (passes - share) * average).T
+
+
+def _tabled(games: Sequence) -> list[tuple]:
+    """Features, tests, value, shares and, for paths of few features, the values of all outcomes of the tests."""
+    out = []
     for value, tests, shares in games:
         players = list(tests)
-        passes = np.ones((len(players), len(x)))
-        for k, f in enumerate(players):
-            for threshold, left in tests[f]:
-                passes[k] *= (x[:, f] <= threshold) if left else (x[:, f] > threshold)
         share = np.array([[shares[f]] for f in players])
-        average = np.zeros_like(passes)
-        for t, weight in zip(*_nodes(len(players))):
-            reach = passes * t + share * (1 - t)  # above zero, as shares are
-            average += weight * reach.prod(axis=0) / reach
-        out[:, players] += (value * (passes - share) * average).T
+        table = None
+        if len(players) <= _TABLED:
+            outcomes = (np.arange(1 << len(players)) >> np.arange(len(players))[:, None] & 1).astype(float)
+            table = np.ascontiguousarray(_shapley(outcomes, share, value).T)
+        out.append((players, tests, value, share, table))
     return out
 
 
+def _attributions(x: np.ndarray, games: Sequence) -> np.ndarray:
+    """Shapley values of the leaf games: a known feature passes or fails its tests, an
+    unknown one follows the leaf with the share of training rows that did.
+
+    A row's values of a leaf depend on the outcomes of its tests only. Each test of any leaf is done once, and the
+    values are looked up by the outcomes where there are few of these.
+    """
+    columns = np.ascontiguousarray(x.T)
+    out = np.zeros_like(columns)
+    done: dict[tuple, np.ndarray] = {}
+
+    def passed(f: int, threshold: float, left: bool) -> np.ndarray:
+        if (f, threshold, left) not in done:
+            done[f, threshold, left] = columns[f] <= threshold if left else columns[f] > threshold
+        return done[f, threshold, left]
+
+    for players, tests, value, share, table in _tabled(games):
+        passes = [np.logical_and.reduce([passed(f, *test) for test in tests[f]]) for f in players]
+        if table is None:
+            phi = _shapley(np.array(passes, dtype=float), share, value).T
+        else:
+            code = np.zeros(len(x), np.uint8)
+            for k, own in enumerate(passes):
+                code |= own.view(np.uint8) << np.uint8(k)
+            code = code.astype(np.intp)
+            phi = [own.take(code, mode="clip") for own in table]
+        for f, own in zip(players, phi):
+            out[f] += own
+    return out.T
+
+
 def tree_base(model) -> float:
     """Margin expected without knowing any feature."""
     return _leaf_games(leaf_paths(model))[1]

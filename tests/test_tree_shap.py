@@ -6,6 +6,7 @@ from math import factorial
 import numpy as np
 import pytest
 
+from sparkrisk.operators import explain
 from sparkrisk.operators.explain import _attributions, _leaf_games
 
 
@@ -51,3 +52,17 @@ def test_thirty_features_on_a_path_add_up():
     games, base = _leaf_games(leaves)
     margins = [sum(reach(x, row, range(60)) for x in leaves) for row in rows]
     assert _attributions(rows, games).sum(axis=1) + base == pytest.approx(margins, abs=1e-12)
+
+
+def test_outcomes_of_short_paths_are_tabled():
+    """Values are looked up by the outcomes of a leaf's tests, and are those of the sum that long paths take."""
+    short, long = (_leaf_games(deep_leaves(12, depth, 5, depth))[0] for depth in (3, 30))
+    assert all(table is not None for *_, table in explain._tabled(short))
+    assert all((table is None) == (len(players) > explain._TABLED) for players, *_, table in explain._tabled(long))
+    rows = np.random.RandomState(3).normal(size=(40, 12))
+    got = _attributions(rows, short)
+    explain._TABLED, kept = 0, explain._TABLED
+    try:
+        assert (got == _attributions(rows, short)).all()
+    finally:
+        explain._TABLED = kept
