@@ -4,6 +4,8 @@ import json
 
 import numpy as np
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from conftest import by_key
@@ -13,7 +15,7 @@ from sparkrisk.plans import score, train
 from sparkrisk.plans.features import feature_names
 from sparkrisk.session import learning_rows
 from sparkrisk.sources.files import predictions_table
-from sparkrisk.spec import METRICS_WITHOUT_AP
+from sparkrisk.spec import METRICS_WITHOUT_AP, SEED
 from sparkrisk.streaming import score_stream, score_stream_in_batches
 
 
@@ -239,3 +241,17 @@ def test_learners_get_a_part_for_each_core(spark):
         assert n == 50_000 and rows.rdd.getNumPartitions() == 1
     with learning_rows(one.limit(1_000)) as (rows, n):
         assert n == 1_000 and rows.rdd.getNumPartitions() == 1
+
+
+def test_fourier_features_of_each_row(spark):
+    """The mapped rows are those of the formula, in batches of any size and in empty parts."""
+    x = np.random.RandomState(4).normal(size=(25_000, 3))
+    rows = spark.createDataFrame([(i, *map(float, v)) for i, v in enumerate(x)], "id int, a double, b double, c double").repartition(3)
+    rows = rows.unionByName(rows.where("id < 0"))
+    given = VectorAssembler(inputCols=["a", "b", "c"], outputCol="features").transform(rows)
+    mapped = FourierFeatures(inputSize=3, width=8, gamma=0.5).transform(given)
+    got = mapped.select("id", vector_to_array("kernel_features").alias("z")).toArrow().sort_by("id")
+    draw = np.random.default_rng(SEED)
+    directions, shifts = draw.normal(0.0, 1.0, (3, 8)), draw.uniform(0.0, 2.0 * np.pi, 8)
+    assert len(got) == 25_000
+    assert np.asarray(got["z"].combine_chunks().flatten()).reshape(-1, 8) == pytest.approx(0.5 * np.cos(x @ directions + shifts), abs=1e-12)
