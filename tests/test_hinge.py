@@ -42,7 +42,7 @@ def test_fit_makes_no_table_of_features(spark, monkeypatch):
 
 def test_half_cosines():
     x, d, s = np.linspace(-40, 40, 6000).reshape(-1, 2), np.array([[1.0, 0.0], [0.0, 3.0]]), np.array([0.0, np.pi])
-    assert np.abs(2 * hinge.squared_half_cosines(x, d, s) - 1 - np.cos(x @ d + s)).max() < 1e-13
+    assert np.abs(2 * hinge.squared_half_cosines(x, d / 2, s / 2) - 1 - np.cos(x @ d + s)).max() < 1e-13
 
 
 @pytest.mark.parametrize("labels", [[0.0] * 20, [0.0, 1.0, 2.0, 1.0] * 5, [0.5, 1.0] * 10])
